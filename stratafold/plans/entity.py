@@ -11,7 +11,7 @@ from stratafold.functions.temporal import logical_timestamp, stamp
 from stratafold.functions.text import null_to_sentinel, strip_accents
 from stratafold.operators.dedup import latest_per_key
 from stratafold.operators.merge import assert_not_shrinking, merge_table
-from stratafold.operators.quality import bundled_suite, quality_summary, require_rows, run_suite
+from stratafold.operators.quality import bundled_suite, quality_summary, run_suite
 from stratafold.operators.quarantine import NULL_ID, quarantine_rows, split_invalid
 from stratafold.operators.versions import VersionedTable
 from stratafold.operators.writers import append_partitions, overwrite_partitions
@@ -40,8 +40,7 @@ def ingest_snapshot(
     """
     landed = scan_json(spark, f"{staging.rstrip('/')}/{run_date}/", c.ENTITY)
     staged = materialise(with_ingest_columns(landed, run_date, as_of), "entity-bronze")
-    rows = require_rows(staged)
-    quality_summary(staged, "bronze", ["id", "name", "brewery_type"])
+    rows = quality_summary(staged, "bronze", ["id", "name", "brewery_type"])["row_count"]
     run_suite(staged, bundled_suite("entity_bronze"))
     overwrite_partitions(staged, bronze, ["ingestion_date"])
     return rows

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from stratafold.operators.merge import merge_newer
 from stratafold.operators.quality import Reference, Rule, run_suite
@@ -122,8 +123,9 @@ def read_history(spark: SparkSession, root: str) -> DataFrame | None:
     current = opened.read()
     if current is None:
         return None
-    closed = scan_table(spark, f"{root}/closed")
-    if closed is None or "closed_batch" not in closed.columns:
+    stored = StructType([*current.schema.fields, StructField("closed_batch", LongType())])
+    closed = scan_table(spark, f"{root}/closed", stored)
+    if closed is None:
         return current
     past = closed.filter(F.col("closed_batch") <= opened.number())
     return past.select(*current.columns).unionByName(current)

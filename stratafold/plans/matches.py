@@ -20,7 +20,7 @@ from stratafold.operators.lookup import (
     prepare_lookup,
 )
 from stratafold.operators.merge import merge_touched_partitions
-from stratafold.operators.quality import bundled_suite, quality_summary, require_rows, run_suite
+from stratafold.operators.quality import bundled_suite, quality_summary, run_suite
 from stratafold.operators.quarantine import (
     BAD_PATH_DATE,
     NULL_MATCH_ID,
@@ -81,7 +81,6 @@ def ingest_matches(
     staged = materialise(fresh, "match-bronze")
     if staged.isEmpty():
         return False
-    require_rows(staged)
     run_suite(staged, bundled_suite("match_bronze"))
     overwrite_partitions(staged.select(*c.MATCH_BRONZE.names), bronze, ["ingestion_date"])
     return True
