@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from stratafold.functions.text import regex_group
 from stratafold.operators.versions import VersionedTable
-from stratafold.operators.writers import replace_table
+from stratafold.operators.writers import in_partitions, overwrite_partitions, replace_table
+from stratafold.workspace import materialise
 
 logger = logging.getLogger(__name__)
 
@@ -21,6 +22,9 @@ RETENTION_DAYS = 30
 KEEP_VERSIONS = 5
 ORPHAN_GRACE_DAYS = 3
 
+# Partitions whose files are on average smaller than this are packed.
+SMALL_FILE_BYTES = 96 * 1024 * 1024
+
 
 def compact(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     """Rewrite a table to ``path`` in files of the session's advisory size.
@@ -31,6 +35,32 @@ def compact(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     replace_table(df, path, by)
 
 
+def partition_files(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """Per partition of a table: its value as text, number of files, and bytes."""
+    value = F.url_decode(regex_group("path", f"/{by}=([^/]+)/"))
+    return (
+        list_files(spark, path)
+        .groupBy(value.alias("partition"))
+        .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    )
+
+
+def compact_partitions(
+    table: DataFrame, path: str, by: str, *, small_file_bytes: int = SMALL_FILE_BYTES
+) -> int:
+    """Pack the partitions made of several small files; the others stay untouched.
+
+    Returns how many partitions were rewritten.
+    """
+    scattered = partition_files(table.sparkSession, path, by).filter(
+        (F.col("files") > 1) & (F.col("bytes") < F.col("files") * small_file_bytes)
+    )
+    rows, count = in_partitions(table, scattered.select("partition"), by)
+    if count:
+        overwrite_partitions(materialise(rows, "packed"), path, [by])
+    return count
+
+
 def expired_versions(
     log: DataFrame,
     as_of: Column | dt.datetime,

@@ -16,14 +16,12 @@ from pyspark.sql import functions as F
 
 from stratafold.functions.temporal import stamp
 from stratafold.operators.incremental import high_watermark, increment
-from stratafold.operators.writers import overwrite_partitions
+from stratafold.operators.writers import in_partitions, overwrite_partitions
 from stratafold.workspace import materialise
 
 # Fixed value: the largest share of active rows a new snapshot may lack.
 MAX_SHRINK = 0.20
 
-MAX_LISTED_PARTITIONS = 10_000
-
 
 class SourceShrinkError(RuntimeError):
     """A snapshot is so much smaller than the table that it is likely partial."""
@@ -127,8 +125,9 @@ def _any(conditions: Sequence[Column]) -> Column:
 def _fail_on_duplicates(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``source`` unchanged, or an error in its tasks if a key repeats or is NULL.
 
-    NULL keys are refused before the shuffle.  The numbering uses the
-    partitioning and order the merge join needs anyway.
+    NULL keys are refused before the shuffle, and at most two rows of a key
+    leave a map task, so even a key repeated very often fails quickly.  The
+    numbering uses the partitioning and order the merge join needs anyway.
     """
 
     def demand(condition: Column, message: str) -> Column:
@@ -139,7 +138,7 @@ def _fail_on_duplicates(source: DataFrame, keys: Sequence[str]) -> DataFrame:
         demand(_all([F.col(k).isNotNull() for k in keys]), f"merge source has NULL in its key: {named}")
     )
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    numbered = keyed.withColumn("_n", number)
+    numbered = keyed.withColumn("_n", number).filter("_n <= 2")
     return numbered.filter(demand(F.col("_n") == 1, f"merge source has several rows of one key: {named}")).drop("_n")
 
 
@@ -172,7 +171,7 @@ def merge_touched_partitions(
         .union(source.select(partition))
         .distinct()
     )
-    affected = _in_partitions(target, concerned, partition)
+    affected, _ = in_partitions(target, concerned, partition)
     merged = merge_table(affected, source, **merge_options)
     staged = materialise(merged, "merged")
     if audit is not None:
@@ -180,17 +179,6 @@ def merge_touched_partitions(
     overwrite_partitions(staged, path, [partition])
 
 
-def _in_partitions(target: DataFrame, wanted: DataFrame, partition: str) -> DataFrame:
-    """Rows of the wanted partitions: listed as literals while they are few."""
-    values = [row[0] for row in wanted.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    if len(values) > MAX_LISTED_PARTITIONS:
-        wanted = wanted.select(F.col(partition).alias("_wanted"))
-        return target.join(wanted, F.col(partition).eqNullSafe(F.col("_wanted")), "left_semi")
-    column = F.col(partition)
-    condition = column.isin([v for v in values if v is not None])
-    return target.filter(condition | column.isNull() if None in values else condition)
-
-
 def merge_newer(target: DataFrame | None, source: DataFrame, *, keys: Sequence[str], changed_at: str) -> DataFrame:
     """Incremental fact: rows strictly newer than the target's newest are upserted.
 

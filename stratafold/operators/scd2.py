@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampType
+
+from stratafold.workspace import materialise
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 
+ROWS_PER_SLICE = 5_000_000
+
 
 def version_intervals(
     df: DataFrame,
@@ -18,43 +23,41 @@ def version_intervals(
     changed_at: str,
     ties: Sequence[str],
     *,
-    slice_by: str = "day",
+    slice_seconds: int | None = None,
 ) -> DataFrame:
     """Every version of a key with the time it came and the time the next came.
 
-    Of versions with the same key and time the last by ``ties`` counts.
+    Of versions with the same key and time the last by ``ties`` counts.  Keys and
+    times must not be NULL (``split_invalid``).
 
-    The next version is looked for within a slice of time first, so a key with
-    very many versions is spread over as many tasks as it has slices; only the
-    last version of a slice asks for the first of the key's next slice.
+    A key may have very many versions, so a large table is cut into slices of
+    time: the next version is looked for within a key's slice, and only the last
+    version of a slice asks for the first of the key's next slice.  By default
+    the slices are so narrow that no key can have more than about
+    ``ROWS_PER_SLICE`` evenly spread versions in one; a table smaller than that
+    is one slice.
     """
     if not ties:
         raise ValueError("name at least one tie-break column")
-    slice_start = F.date_trunc(slice_by, F.col(changed_at))
-
-    # In time order with ties, the last row of an instant is the one whose
-    # successor is later, and that successor's time is its end.
-    inner = Window.partitionBy(*keys, "_slice").orderBy(changed_at, *ties)
-    chained = (
-        df.withColumn("_slice", slice_start)
-        .withColumn("_next", F.lead(changed_at).over(inner))
-        .filter(F.col("_next").isNull() | (F.col("_next") > F.col(changed_at)))
-    )
-
+    if slice_seconds is None:
+        slice_seconds = _slice_width(df, changed_at)
+    if slice_seconds is None:
+        whole = _chain(df, list(keys), changed_at, ties)
+        return whole.select(*df.columns, F.col(changed_at).alias(VALID_FROM), F.col("_next").alias(VALID_TO))
+
+    number = _slice(df, changed_at, slice_seconds)
+    chained = _chain(df.withColumn("_slice", number), [*keys, "_slice"], changed_at, ties)
     starts = (
-        df.select(*keys, slice_start.alias("_slice"), changed_at)
+        df.select(*keys, number.alias("_slice"), changed_at)
         .groupBy(*keys, "_slice")
         .agg(F.min(changed_at).alias("_first"))
     )
-    outer = Window.partitionBy(*keys).orderBy("_slice")
     following = starts.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         F.col("_slice").alias("_k_slice"),
-        F.lead("_first").over(outer).alias("_next_slice"),
+        F.lead("_first").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_next_slice"),
     )
-    match = F.col("_slice") == F.col("_k_slice")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    match = _equal({**{k: f"_k_{k}" for k in keys}, "_slice": "_k_slice"})
     return chained.join(following, match, "left").select(
         *df.columns,
         F.col(changed_at).alias(VALID_FROM),
@@ -62,6 +65,40 @@ def version_intervals(
     )
 
 
+def _chain(df: DataFrame, groups: Sequence[str], changed_at: str, ties: Sequence[str]) -> DataFrame:
+    """The time of the next version within a group, as ``_next``.
+
+    In time order with ties, the last row of an instant is the one whose
+    successor is later, and that successor's time is its end.
+    """
+    order = Window.partitionBy(*groups).orderBy(changed_at, *ties)
+    chained = df.withColumn("_next", F.lead(changed_at).over(order))
+    return chained.filter(F.col("_next").isNull() | (F.col("_next") > F.col(changed_at)))
+
+
+def _seconds(df: DataFrame, column: str) -> Column:
+    """A time as a number that grows with it, whatever the session's time zone."""
+    c = F.col(column)
+    if isinstance(df.schema[column].dataType, TimestampType):
+        return F.unix_seconds(c)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint") * 86_400
+    if isinstance(df.schema[column].dataType, DateType):
+        return days
+    return days + F.hour(c) * 3_600 + F.minute(c) * 60 + F.second(c)
+
+
+def _slice(df: DataFrame, column: str, width: int) -> Column:
+    return F.floor(_seconds(df, column) / F.lit(width)).cast("bigint")
+
+
+def _slice_width(df: DataFrame, column: str) -> int | None:
+    """Seconds per slice for the size of the table; None if one slice is enough."""
+    time = _seconds(df, column)
+    rows, first, last = df.agg(F.count("*"), F.min(time), F.max(time)).first()
+    slices = rows // ROWS_PER_SLICE
+    return max(1, (last - first + 1) // slices) if slices > 1 else None
+
+
 def open_versions(history: DataFrame) -> DataFrame:
     return history.filter(F.col(VALID_TO).isNull())
 
@@ -77,7 +114,7 @@ def apply_changes(
     changed_at: str,
     ties: Sequence[str],
     *,
-    slice_by: str = "day",
+    slice_seconds: int | None = None,
 ) -> DataFrame:
     """Open versions and a batch of changes, as the versions they become.
 
@@ -86,22 +123,30 @@ def apply_changes(
     neither read nor rewritten.  Changes not newer than the open version are
     ignored, and keys missing from the batch stay open.
     """
-    known = history_open.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.col(VALID_FROM).alias("_o_from"))
-    match = None
-    for k in keys:
-        equal = F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-        match = equal if match is None else match & equal
-    newer = (
+    match = _equal({k: f"_o_{k}" for k in keys})
+    open_keys = [F.col(k).alias(f"_o_{k}") for k in keys]
+    known = history_open.select(*open_keys, F.col(VALID_FROM).alias("_o_from"))
+    newer = materialise(
         batch.join(known, match, "left")
         .filter(F.col("_o_from").isNull() | (F.col(changed_at) > F.col("_o_from")))
-        .select(*batch.columns)
+        .select(*batch.columns),
+        "newer",
     )
-    added = version_intervals(newer, keys, changed_at, ties, slice_by=slice_by)
-    first_change = newer.groupBy(*[F.col(k).alias(f"_o_{k}") for k in keys]).agg(F.min(changed_at).alias("_ends"))
+    added = version_intervals(newer, keys, changed_at, ties, slice_seconds=slice_seconds)
+    first_change = newer.groupBy(*open_keys).agg(F.min(changed_at).alias("_ends"))
     kept = history_open.join(first_change, match, "left").withColumn(VALID_TO, F.col("_ends"))
     return kept.select(*history_open.columns).unionByName(added)
 
 
+def _equal(pairs: Mapping[str, str]) -> Column:
+    """Plain equality of column pairs: it can use a partitioning already there."""
+    result = None
+    for left, right in pairs.items():
+        equal = F.col(left) == F.col(right)
+        result = equal if result is None else result & equal
+    return result
+
+
 def as_of(history: DataFrame, instant: dt.datetime | Column) -> DataFrame:
     """The version of each key that was valid at ``instant``."""
     at = instant if isinstance(instant, Column) else F.lit(instant)

@@ -21,13 +21,18 @@ def canonical_dimension(
 
     Spellings that differ in case or outer spaces fall together; the greatest or
     least trimmed spelling is shown.  Distinct spellings are found first: that
-    step hashes, combines before its shuffle and leaves little to sort.
+    step hashes and combines before its shuffle, so only they are sorted.  (The
+    repartition gives each canonical value one place, and keeps the optimizer
+    from folding both steps into one sort of every row.)
     """
+    forms = {c: f"_canonical_{c}" for c in columns}
     spellings = df.select(*[trimmed(c).alias(c) for c in columns]).distinct()
+    placed = spellings.select(*columns, *[F.upper(c).alias(form) for c, form in forms.items()]).repartition(
+        *forms.values()
+    )
     pick = F.max if show == "max" else F.min
-    groups = [F.upper(c).alias(f"_canonical_{c}") for c in columns]
-    shown = spellings.groupBy(*groups).agg(*[pick(c).alias(c) for c in columns])
-    return shown.select(surrogate_key(*[f"_canonical_{c}" for c in columns]).alias(key), *columns)
+    shown = placed.groupBy(*forms.values()).agg(*[pick(c).alias(c) for c in columns])
+    return shown.select(surrogate_key(*forms.values()).alias(key), *columns)
 
 
 def describe_dimension(

@@ -11,6 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_LISTED_PARTITIONS = 10_000
+
+# Fixed value: the folder name Spark gives a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def rebalanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -44,3 +50,21 @@ def land_json_by_date(df: DataFrame, path: str, date_column: str = "date") -> No
     """Land one folder of JSON lines per date, replacing the dates present."""
     writer = rebalanced(df, [date_column]).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(date_column).json(path)
+
+
+def in_partitions(table: DataFrame, wanted: DataFrame, partition: str) -> tuple[DataFrame, int]:
+    """The rows of the partitions a one-column frame names, and their number.
+
+    Up to a limit the values become literals, so only those partitions are
+    listed and read; beyond it they are joined.
+    """
+    values = [row[0] for row in wanted.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+    column = F.col(partition)
+    if len(values) > MAX_LISTED_PARTITIONS:
+        named = wanted.select(F.col(wanted.columns[0]).cast(table.schema[partition].dataType).alias("_wanted"))
+        return table.join(named, column.eqNullSafe(F.col("_wanted")), "left_semi"), wanted.count()
+    kind = table.schema[partition].dataType
+    condition = column.isin([F.lit(v).cast(kind) for v in values if v not in (None, NULL_PARTITION)])
+    if None in values or NULL_PARTITION in values:
+        condition = condition | column.isNull()
+    return table.filter(condition), len(values)

@@ -14,9 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stratafold.operators.dedup import latest_per_key
+from stratafold.operators.merge import merge_touched_partitions
 from stratafold.operators.versions import Audit, VersionedTable
+from stratafold.sources.files import scan_table
+from stratafold.workspace import materialise
 
 Step = Callable[[DataFrame | None, DataFrame], DataFrame]
+Take = Callable[[DataFrame], None]
 
 
 def keep_latest(keys: Sequence[str], latest_by: str, ties: Sequence[str]) -> Step:
@@ -32,35 +36,60 @@ def keep_latest(keys: Sequence[str], latest_by: str, ties: Sequence[str]) -> Ste
     return step
 
 
-def stream_into(
+def into_versions(table: VersionedTable, step: Step, as_of: dt.datetime | None = None, audit: Audit | None = None) -> Take:
+    """Publish ``step(current, batch)`` as the next version, once ``audit`` passes it.
+
+    Every batch rewrites the table: meant for tables that are small next to a
+    batch.  A batch repeated after a failure is applied to the last published version.
+    """
+
+    def take(batch: DataFrame) -> None:
+        table.publish(step(table.read(), batch), as_of or dt.datetime.now(), audit=audit)
+
+    return take
+
+
+def into_partitions(
+    path: str, schema: T.StructType, prepare: Callable[[DataFrame], DataFrame], *, partition: str, **merge_options
+) -> Take:
+    """Upsert each batch into a partitioned table, rewriting only partitions it concerns.
+
+    ``prepare`` makes a batch's rows unique by key and adds the partition column.
+    Repeating a batch writes the same rows again.
+    """
+
+    def take(batch: DataFrame) -> None:
+        spark = batch.sparkSession
+        source = materialise(prepare(batch), "batch")
+        if source.isEmpty():
+            return
+        current = scan_table(spark, path, schema)
+        target = spark.createDataFrame([], schema) if current is None else current
+        merge_touched_partitions(target, source, path, partition=partition, **merge_options)
+
+    return take
+
+
+def stream_files(
     spark: SparkSession,
     folder: str,
     schema: T.StructType | str,
-    table: VersionedTable,
-    step: Step,
+    take: Take,
     *,
     checkpoint: str,
-    as_of: dt.datetime | None = None,
-    audit: Audit | None = None,
     documents: bool = True,
     files_per_batch: int | None = None,
 ) -> None:
-    """Take in all files not seen before, then stop.
+    """Hand all files not seen before to ``take``, in batches, then stop.
 
-    Each batch publishes ``step(current, batch)`` as the table's next version,
-    once ``audit`` has passed it; a batch repeated after a failure is applied to
-    the last published version.  ``checkpoint`` belongs in shared storage.
+    ``checkpoint`` belongs in shared storage.
     """
     reader = spark.readStream.schema(schema).option("multiLine", documents).option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-
-    def publish(batch: DataFrame, number: int) -> None:
-        table.publish(step(table.read(), batch), as_of or dt.datetime.now(), audit=audit)
-
     run = (
         reader.json(folder)
-        .writeStream.foreachBatch(publish)
+        .writeStream.foreachBatch(lambda batch, number: take(batch))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

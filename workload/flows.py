@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from stratafold.operators.dedup import latest_per_key
 from stratafold.operators.versions import VersionedTable
 from stratafold.plans import contracts, gold
 from stratafold.plans.entity import ingest_snapshot, silver_table, transform_snapshot
@@ -18,7 +19,7 @@ from stratafold.plans.matches import (
     transform_matches,
 )
 from stratafold.sources.payload import PAYLOAD_DDL, finished
-from stratafold.streaming.ingest import keep_latest, stream_into
+from stratafold.streaming.ingest import into_partitions, into_versions, keep_latest, stream_files
 from stratafold.workspace import fresh_path
 from workload.feeds import MIDDLE, landed_matches
 from workload.proxies import MATCH_SQL, raw_matches
@@ -193,23 +194,55 @@ def match_enrich_query(spark, sf_dir):
     )
 
 
+def land_events(spark, sf_dir, folder):
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    events = table(spark, sf_dir, "events")
+    events.repartition(8, "event_id").write.option("timestampNTZFormat", micros).json(folder)
+    return events.schema
+
+
 @query("stream_ingest", LATEST_SQL)
 def stream_ingest_query(spark, sf_dir):
     """Landed event files streamed in several batches into the latest row per user."""
     base = fresh_path(spark, "stream")
-    events = table(spark, sf_dir, "events")
-    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    events.repartition(8, "event_id").write.option("timestampNTZFormat", micros).json(f"{base}/landed")
+    schema = land_events(spark, sf_dir, f"{base}/landed")
     state = VersionedTable(spark, f"{base}/state")
-    stream_into(
-        spark,
-        f"{base}/landed",
-        events.schema,
-        state,
-        keep_latest(["user_id"], "ts", ["event_id"]),
-        checkpoint=f"{base}/progress",
-        as_of=dt.datetime(2024, 2, 1),
-        documents=False,
-        files_per_batch=3,
+    take = into_versions(state, keep_latest(["user_id"], "ts", ["event_id"]), dt.datetime(2024, 2, 1))
+    stream_files(
+        spark, f"{base}/landed", schema, take, checkpoint=f"{base}/progress", documents=False, files_per_batch=3
     )
     return state.read()
+
+
+@query(
+    "stream_upsert",
+    """
+SELECT event_id, ts, user_id, event_type, value, props, TRUE AS is_active,
+       TIMESTAMP '2024-02-01 00:00:00' AS updated_at
+FROM events""",
+)
+def stream_upsert_query(spark, sf_dir):
+    """Landed event files streamed into a table partitioned by day, keyed by event."""
+    base = fresh_path(spark, "stream")
+    schema = land_events(spark, sf_dir, f"{base}/landed")
+    stored = table(spark, sf_dir, "events").withColumns(
+        {
+            "is_active": F.lit(True),
+            "updated_at": F.lit("2024-02-01").cast("timestamp_ntz"),
+            "day": F.to_date("ts"),
+        }
+    )
+    take = into_partitions(
+        f"{base}/state",
+        stored.schema,
+        lambda batch: latest_per_key(batch, ["event_id"], "ts", ["user_id"]).withColumn("day", F.to_date("ts")),
+        partition="day",
+        keys=["event_id"],
+        update=["ts", "user_id", "event_type", "value", "props"],
+        as_of=dt.datetime(2024, 2, 1),
+        source_is_unique=True,
+    )
+    stream_files(
+        spark, f"{base}/landed", schema, take, checkpoint=f"{base}/progress", documents=False, files_per_batch=4
+    )
+    return spark.read.schema(stored.schema).parquet(f"{base}/state").drop("day")

@@ -309,6 +309,12 @@ def scd2_history_query(spark, sf_dir):
     return history(spark, sf_dir)
 
 
+@query("scd2_history_sliced", HISTORY_SQL)
+def scd2_history_sliced_query(spark, sf_dir):
+    """The same history in the form large tables take: by key and slice of time."""
+    return version_intervals(user_events(spark, sf_dir), ["user_id"], "ts", ["event_id"], slice_seconds=6 * 3600)
+
+
 @query("scd2_incremental", HISTORY_SQL)
 def scd2_incremental_query(spark, sf_dir):
     """History of the earlier half, then the later half applied to its open versions."""
