@@ -1,0 +1,101 @@
+import datetime as dt
+import hashlib
+
+import pytest
+
+from stratafold.functions.measures import outcome, percentage, total
+from stratafold.functions.temporal import compose_timestamp, logical_timestamp, month_of, parse_date
+from stratafold.functions.text import (
+    ACCENTED,
+    PLAIN,
+    business_key,
+    canonical,
+    null_to_sentinel,
+    regex_group,
+    strip_accents,
+    surrogate_key,
+)
+
+
+def one(spark, column, schema, *row):
+    return spark.createDataFrame([row], schema).select(column.alias("x")).first().x
+
+
+@pytest.mark.parametrize(
+    "text, plain",
+    [
+        ("Kärnten", "Karnten"),
+        ("Niederösterreich", "Niederosterreich"),
+        ("São Paulo", "Sao Paulo"),
+        ("Zürich", "Zurich"),
+        ("Päijät-Häme", "Paijat-Hame"),
+        ("ÁÇÜ", "ACU"),
+        ("España, Ångström, Straße", "España, Ångstrom, Straße"),
+        (None, None),
+    ],
+)
+def test_strip_accents(spark, text, plain):
+    assert one(spark, strip_accents("a"), "a string", text) == plain
+
+
+def test_accent_map_is_one_to_one():
+    assert len(ACCENTED) == len(PLAIN) == 46
+    assert len(set(ACCENTED)) == 46
+
+
+def test_null_sentinel(spark):
+    assert one(spark, null_to_sentinel("a"), "a string", None) == "__UNKNOWN__"
+    assert one(spark, null_to_sentinel("a"), "a string", "Oregon") == "Oregon"
+
+
+def test_surrogate_key_ignores_case_spaces_and_null(spark):
+    rows = spark.createDataFrame(
+        [(" austria", "Tyrol ", None), ("AUSTRIA", "tyrol", ""), ("Austria", "Tyrol", "Wien")], "a string, b string, c string"
+    )
+    keys = [r.k for r in rows.select(surrogate_key("a", "b", "c").alias("k")).collect()]
+    assert keys[0] == keys[1] != keys[2]
+    assert keys[0] == hashlib.md5(b"AUSTRIA|TYROL|").hexdigest()
+
+
+def test_business_key_keeps_null(spark):
+    assert one(spark, business_key("a"), "a string", None) is None
+    assert one(spark, business_key("a"), "a string", " x1 ") == hashlib.md5(b"X1").hexdigest()
+
+
+def test_canonical_and_regex(spark):
+    assert one(spark, canonical("a"), "a string", "  micro ") == "MICRO"
+    assert one(spark, canonical("a"), "a string", None) == ""
+    assert one(spark, regex_group("a", r"/(\d+)/"), "a string", "/x/17/") == "17"
+    assert one(spark, regex_group("a", r"/(\d+)/"), "a string", "/x/") == ""
+
+
+@pytest.mark.parametrize("text", ["", "soon", "2026-13-40", None])
+def test_bad_dates_become_null(spark, text):
+    assert one(spark, parse_date("a"), "a string", text) is None
+
+
+def test_compose_timestamp(spark):
+    schema = "d string, t string"
+    at = compose_timestamp("d", "t").cast("timestamp_ntz")
+    assert one(spark, at, schema, "2026-05-25", "16:00") == dt.datetime(2026, 5, 25, 16)
+    assert one(spark, at, schema, "2026-05-25", "") is None
+    assert one(spark, at, schema, "2026-05-25", None) is None
+
+
+def test_logical_timestamp_and_month(spark):
+    assert one(spark, logical_timestamp("a").cast("timestamp_ntz"), "a string", "2026-05-25") == dt.datetime(2026, 5, 25)
+    assert one(spark, month_of(parse_date("a")), "a string", "2026-05-25") == dt.date(2026, 5, 1)
+
+
+@pytest.mark.parametrize(
+    "home, away, points, label",
+    [(2, 1, 3, "HOME_WIN"), (0, 0, 0, "DRAW"), (1, 3, 4, "AWAY_WIN"), (None, 2, None, "DRAW")],
+)
+def test_total_and_outcome(spark, home, away, points, label):
+    assert one(spark, total("h", "a"), "h int, a int", home, away) == points
+    assert one(spark, outcome("h", "a"), "h int, a int", home, away) == label
+
+
+@pytest.mark.parametrize("part, whole, expected", [(1, 3, 33.33), (1, 8, 12.5), (1, 800, 0.13), (0, 0, None), (7, 7, 100.0)])
+def test_percentage_rounds_half_up(spark, part, whole, expected):
+    assert one(spark, percentage("p", "w"), "p long, w long", part, whole) == expected

@@ -1,0 +1,185 @@
+import datetime as dt
+from pathlib import Path
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from stratafold.operators.merge import (
+    SourceShrinkError,
+    assert_not_shrinking,
+    merge_newer,
+    merge_table,
+    merge_touched_partitions,
+    shrink_report,
+)
+from stratafold.operators.writers import replace_table
+
+OLD, NOW = dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 2)
+TARGET = "id string, name string, city string, is_active boolean, updated_at timestamp_ntz, first_seen string"
+
+
+def target(spark):
+    return spark.createDataFrame(
+        [
+            ("same", "n1", "c1", True, OLD, "d1"),
+            ("changed", "n2", "c2", True, OLD, "d1"),
+            ("gone", "n3", "c3", True, OLD, "d1"),
+            ("long gone", "n4", "c4", False, OLD, "d1"),
+            ("back", "n5", "c5", False, OLD, "d1"),
+        ],
+        TARGET,
+    )
+
+
+def source(spark):
+    return spark.createDataFrame(
+        [("same", "n1", "x", "d2"), ("changed", "N2", "x", "d2"), ("back", "n5", "x", "d2"), ("new", "n6", "c6", "d2")],
+        "id string, name string, city string, first_seen string",
+    )
+
+
+def merged(spark, **options):
+    rows = merge_table(target(spark), source(spark), keys=["id"], update=["name"], as_of=NOW, **options).collect()
+    assert len(rows) == 6
+    return {r.id: r for r in rows}
+
+
+def stamps(rows):
+    return {k for k, r in rows.items() if r.updated_at == NOW}
+
+
+def test_upsert_keeps_missing_rows_and_locked_columns(spark):
+    rows = merged(spark)
+    assert (rows["changed"].name, rows["changed"].city, rows["changed"].first_seen) == ("N2", "c2", "d1")
+    assert (rows["new"].name, rows["new"].city, rows["new"].is_active, rows["new"].first_seen) == ("n6", "c6", True, "d2")
+    assert rows["gone"].is_active and not rows["long gone"].is_active and rows["back"].is_active
+    assert stamps(rows) == {"changed", "back", "new"}
+
+
+def test_soft_delete(spark):
+    rows = merged(spark, on_missing="deactivate")
+    assert {k for k, r in rows.items() if not r.is_active} == {"gone", "long gone"}
+    assert rows["gone"].name == "n3"
+    assert stamps(rows) == {"changed", "back", "new", "gone"}
+
+
+def test_touch_always_stamps_every_matched_and_missing_row(spark):
+    assert stamps(merged(spark, on_missing="deactivate", touch="always")) == {
+        "same", "changed", "back", "new", "gone", "long gone"
+    }
+    assert stamps(merged(spark, touch="always")) == {"same", "changed", "back", "new"}
+
+
+def test_null_values_are_compared(spark):
+    t = spark.createDataFrame([("a", None, True, OLD), ("b", "x", True, OLD)], "id string, v string, is_active boolean, updated_at timestamp_ntz")
+    s = spark.createDataFrame([("a", None), ("b", None)], "id string, v string")
+    rows = {r.id: r for r in merge_table(t, s, keys=["id"], update=["v"], as_of=NOW).collect()}
+    assert rows["a"].updated_at == OLD and rows["b"].updated_at == NOW and rows["b"].v is None
+
+
+def test_merging_twice_changes_nothing(spark):
+    options = {"keys": ["id"], "update": ["name"], "on_missing": "deactivate"}
+    once = merge_table(target(spark), source(spark), as_of=NOW, **options)
+    twice = merge_table(once, source(spark), as_of=NOW + dt.timedelta(days=1), **options)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+
+
+@pytest.mark.parametrize("rows, message", [([("a",), ("a",)], "several rows"), ([("a",), (None,)], "NULL in its key")])
+def test_bad_source_keys_fail(spark, rows, message):
+    t = spark.createDataFrame([("a",)], "id string")
+    s = spark.createDataFrame(rows, "id string")
+    with pytest.raises(PySparkException, match=message):
+        merge_table(t, s, keys=["id"], update=[], active=None, stamped=None).collect()
+
+
+def test_source_must_have_the_columns(spark):
+    with pytest.raises(ValueError, match="lacks"):
+        merge_table(target(spark), source(spark), keys=["id"], update=["phone"])
+
+
+def test_evolve_appends_columns(spark):
+    t = spark.createDataFrame([("a", 1), ("b", 2)], "id string, n int")
+    s = spark.createDataFrame([("b", 3, "new"), ("c", 4, "new")], "id string, n int, extra string")
+    out = merge_table(t, s, keys=["id"], update=["n"], active=None, stamped=None, evolve=True)
+    assert out.columns == ["id", "n", "extra"]
+    assert sorted(map(tuple, out.collect())) == [("a", 1, None), ("b", 3, "new"), ("c", 4, "new")]
+    assert merge_table(t, s, keys=["id"], update=["n"], active=None, stamped=None).columns == ["id", "n"]
+
+
+def test_merge_newer(spark):
+    schema = "k string, v string, updated_at timestamp_ntz"
+    s = spark.createDataFrame([("a", "A", OLD), ("b", "B", NOW)], schema)
+    assert merge_newer(None, s, keys=["k"], changed_at="updated_at").count() == 2
+    assert merge_newer(s.limit(0), s, keys=["k"], changed_at="updated_at").count() == 2
+    t = spark.createDataFrame([("a", "old", OLD)], schema)
+    rows = merge_newer(t, s, keys=["k"], changed_at="updated_at").collect()
+    assert sorted((r.k, r.v) for r in rows) == [("a", "old"), ("b", "B")]
+
+
+def test_only_concerned_partitions_are_rewritten(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    schema = "id string, v int, p string"
+    replace_table(spark.createDataFrame([("a", 1, "x"), ("b", 1, "x"), ("c", 1, "y"), ("d", 1, "z")], schema), path, ["p"])
+
+    def files(p):
+        return sorted(f.name for f in Path(tmp_path, "t", f"p={p}").iterdir())
+
+    before = files("y"), files("z")
+    # b moves to y in the source: it stays where it was first put.
+    s = spark.createDataFrame([("b", 2, "z"), ("e", 2, "w")], schema)
+    options = {"keys": ["id"], "update": ["v"], "active": None, "stamped": None}
+    merge_touched_partitions(spark.read.schema(schema).parquet(path), s, path, partition="p", **options)
+    rows = sorted((r.id, r.v, r.p) for r in spark.read.schema(schema).parquet(path).collect())
+    assert rows == [("a", 1, "x"), ("b", 2, "x"), ("c", 1, "y"), ("d", 1, "z"), ("e", 2, "w")]
+    assert files("y") == before[0]
+
+
+def test_rejected_partition_merge_changes_nothing(spark, base):
+    schema = "id string, v int, p string"
+    replace_table(spark.createDataFrame([("a", 1, "x")], schema), f"{base}/t", ["p"])
+
+    def reject(staged):
+        assert staged.count() == 2
+        raise RuntimeError("rejected")
+
+    with pytest.raises(RuntimeError, match="rejected"):
+        merge_touched_partitions(
+            spark.read.schema(schema).parquet(f"{base}/t"),
+            spark.createDataFrame([("b", 2, "x")], schema),
+            f"{base}/t",
+            partition="p",
+            audit=reject,
+            keys=["id"],
+            update=["v"],
+            active=None,
+            stamped=None,
+        )
+    assert spark.read.parquet(f"{base}/t").count() == 1
+
+
+def test_partition_merge_refuses_what_it_cannot_do(spark):
+    t = spark.createDataFrame([("a", "x")], "id string, p string")
+    with pytest.raises(ValueError):
+        merge_touched_partitions(t, t, "/nowhere", partition="p", keys=["id"], update=["p"])
+    with pytest.raises(ValueError):
+        merge_touched_partitions(t, t, "/nowhere", partition="p", keys=["id"], update=[], on_missing="deactivate")
+
+
+@pytest.mark.parametrize(
+    "before, now, passes",
+    [(1000, 500, False), (1000, 900, True), (1000, 800, True), (1000, 799, False), (1000, 1200, True), (0, 0, True), (1, 0, True)],
+)
+def test_shrink_guard(spark, before, now, passes):
+    t = spark.range(before).withColumn("is_active", F.lit(True)).union(spark.range(5).withColumn("is_active", F.lit(False)))
+    s = spark.range(now)
+    assert shrink_report(s, t).first().passed is passes
+    if passes:
+        assert_not_shrinking(s, t)
+    else:
+        with pytest.raises(SourceShrinkError, match=str(before)):
+            assert_not_shrinking(s, t)
+
+
+def test_shrink_guard_skips_a_missing_table(spark):
+    assert_not_shrinking(spark.range(1), None)

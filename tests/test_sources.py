@@ -1,0 +1,125 @@
+import json
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import types as T
+
+from stratafold.operators.writers import replace_table
+from stratafold.plans import contracts as c
+from stratafold.sources.files import CORRUPT_COLUMN, or_none, partition, scan_csv, scan_dated_json, scan_json, scan_table
+from stratafold.sources.payload import PAYLOAD_DDL, finished, flatten_payload, landing_slice
+from tests.conftest import plan_of
+
+SMALL = T.StructType().add("id", "string").add("n", "integer")
+
+
+def put(folder, name, content):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(content if isinstance(content, str) else json.dumps(content, indent=2), encoding="utf-8")
+
+
+def test_pages_of_one_folder_are_read_together(spark, tmp_path):
+    put(tmp_path / "d", "page_1.json", [{"id": "a", "n": 1}, {"id": "b", "n": "many"}])
+    put(tmp_path / "d", "page_2.json", [{"id": "c", "extra": True}])
+    rows = scan_json(spark, str(tmp_path / "d"), SMALL).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [("a", 1), ("b", None), ("c", None)]
+
+
+def test_broken_document_can_be_kept(spark, tmp_path):
+    put(tmp_path / "d", "good.json", [{"id": "a", "n": 1}])
+    put(tmp_path / "d", "bad.json", '[{"id": "b", ')
+    rows = scan_json(spark, str(tmp_path / "d"), SMALL, keep_corrupt=True).cache().collect()
+    broken = [r for r in rows if r[CORRUPT_COLUMN] is not None]
+    assert len(broken) == 1 and any(r.id == "a" for r in rows)
+
+
+def test_date_comes_from_the_path(spark, tmp_path):
+    for day in ("2026-05-20", "2026-05-21"):
+        put(tmp_path / "feed" / day, "matches.json", [{"id": day, "n": 1}])
+    put(tmp_path / "feed" / "day=2026-05-22", "matches.json", [{"id": "2026-05-22", "n": 1}])
+    put(tmp_path / "feed" / "undated", "matches.json", [{"id": "", "n": 1}])
+    rows = scan_dated_json(spark, f"{tmp_path}/feed/*/matches.json", SMALL).collect()
+    assert len(rows) == 4 and all(r.id == r.ingestion_date for r in rows)
+
+
+def test_missing_source_is_none_but_other_errors_pass(spark, tmp_path):
+    assert scan_dated_json(spark, f"{tmp_path}/nothing/*/m.json", SMALL) is None
+    assert scan_table(spark, f"{tmp_path}/nothing") is None
+    with pytest.raises(AnalysisException):
+        or_none(lambda: spark.sql("SELECT missing_column FROM range(1)"))
+
+
+def test_partition_scan_prunes(spark, base):
+    rows = spark.createDataFrame([(1, "2026-01-15"), (2, "2026-01-16")], "a int, d string")
+    replace_table(rows, f"{base}/t", ["d"])
+    day = partition(scan_table(spark, f"{base}/t", rows.schema), "d", "2026-01-16")
+    assert [r.a for r in day.collect()] == [2]
+    assert "PartitionFilters: [isnotnull(d" in plan_of(day)
+
+
+def test_csv_dimension_with_comments(spark, tmp_path):
+    put(tmp_path / "seed", "types.csv", '# a comment\ncode,text\nmicro,"small, local"\n')
+    rows = scan_csv(spark, str(tmp_path / "seed"), "code STRING, text STRING").collect()
+    assert [tuple(r) for r in rows] == [("micro", "small, local")]
+
+
+def test_bundled_tables(spark):
+    assert c.bundled_table(spark, "entity_types").count() == 14
+    assert c.bundled_table(spark, "stadium_states").count() == 112
+    assert c.bundled_table(spark, "home_team_states").count() == 120
+
+
+FULL = {
+    "rodada": 3,
+    "id": "m-1",
+    "data_realizacao": "2026-01-28T19:00",
+    "hora_realizacao": "19:00",
+    "equipes": {"mandante": {"nome_popular": "Flamengo", "sigla": "FLA"}, "visitante": {"nome_popular": "Santos", "sigla": "SAN"}},
+    "placar_oficial_mandante": 2,
+    "placar_oficial_visitante": 1,
+    "sede": {"nome_popular": "Maracanã"},
+    "jogo_ja_comecou": True,
+    "transmissao": {"url": "http://x", "broadcast": {"label": "tv"}},
+}
+BARE = {"rodada": 3, "id": "m-2", "data_realizacao": "2026-01-29T16:00", "equipes": {}, "sede": None}
+UNDATED = [{"id": "m-3", "equipes": {}}, {"id": "m-4", "data_realizacao": ""}]
+
+
+@pytest.fixture
+def flat(spark, tmp_path):
+    put(tmp_path / "raw", "round.json", [FULL, BARE, *UNDATED])
+    raw = spark.read.schema(PAYLOAD_DDL).option("multiLine", True).json(str(tmp_path / "raw"))
+    return flatten_payload(raw, "feed")
+
+
+def test_flatten_payload(flat):
+    rows = {r.ge_match_id: r for r in flat.collect()}
+    assert set(rows) == {"m-1", "m-2"}
+    assert flat.columns == c.MATCH.names
+    full, bare = rows["m-1"], rows["m-2"]
+    assert (full.home_team, full.away_team_code, full.stadium) == ("Flamengo", "SAN", "Maracanã")
+    assert (full.date, full.kickoff_time, full.broadcast, full.match_url) == ("2026-01-28", "19:00", "tv", "http://x")
+    assert (bare.home_team, bare.home_team_code, bare.stadium, bare.kickoff_time) == ("Unknown", "", "Unknown", "")
+    assert (bare.score_home, bare.match_started) == (None, False)
+
+
+def test_numeric_ids_become_text(spark, tmp_path):
+    put(tmp_path / "raw", "round.json", [{**FULL, "id": 77}])
+    raw = spark.read.schema(PAYLOAD_DDL).option("multiLine", True).json(str(tmp_path / "raw"))
+    assert flatten_payload(raw, "feed").first().ge_match_id == "77"
+
+
+def test_finished(flat, spark):
+    assert [r.ge_match_id for r in finished(flat).collect()] == ["m-1"]
+    rows = spark.createDataFrame([(1, None, True), (1, 2, None), (1, 2, True)], "score_home int, score_away int, match_started boolean")
+    assert finished(rows).count() == 2
+    assert finished(rows, ["score_home", "score_away"]).count() == 1
+
+
+def test_landing_slices(spark):
+    days = ["2026-05-20", "2026-05-20", "2026-05-21", "2026-05-30"]
+    first = landing_slice(spark.createDataFrame([(d,) for d in days], "date string"), "2026-05-29", first_run=True)
+    assert first.count() == 3 and first.distinct().count() == 2
+    days = ["2026-05-28", "2026-05-28", "2026-05-27", "2026-05-29"]
+    later = landing_slice(spark.createDataFrame([(d,) for d in days], "date string"), "2026-05-28", first_run=False)
+    assert later.count() == 2 and later.distinct().count() == 1
