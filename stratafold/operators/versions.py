@@ -32,7 +32,7 @@ class VersionedTable:
 
     spark: SparkSession
     root: str
-    schema: str | StructType | None = None
+    schema: StructType | None = None
 
     @property
     def log_path(self) -> str:
@@ -57,7 +57,11 @@ class VersionedTable:
     def read(self) -> DataFrame | None:
         """The newest published version; None before the first."""
         newest = self._newest()
-        return None if newest is None else scan_table(self.spark, f"{self.data_path}/{newest.name}", self.schema)
+        if newest is None:
+            return None
+        stored = scan_table(self.spark, f"{self.data_path}/{newest.name}", self.schema)
+        # Partition columns come last in files; a declared schema says where they belong.
+        return stored.select(*self.schema.names) if self.schema else stored
 
     def publish(
         self,

@@ -21,7 +21,7 @@ from stratafold.plans.matches import (
 from stratafold.sources.payload import PAYLOAD_DDL, finished
 from stratafold.streaming.ingest import into_partitions, into_versions, keep_latest, stream_files
 from stratafold.workspace import fresh_path
-from workload.feeds import MIDDLE, landed_matches
+from workload.feeds import landed_matches
 from workload.proxies import MATCH_SQL, raw_matches
 from workload.registry import query, table
 from workload.state import LATEST_SQL
@@ -160,19 +160,15 @@ FROM flat WHERE score_home IS NOT NULL AND match_started"""
     f"WITH {MATCH_SQL} SELECT *, TRUE AS is_active FROM ({SILVER_MATCH_SQL}) WHERE match_date <= '2024-01-30'",
 )
 def match_flow_query(spark, sf_dir):
-    """Backfill to a date, then one more landed date, then every later one."""
+    """Backfill up to a date, then the next date as an increment."""
     base = fresh_path(spark, "matches")
     staging, bronze, silver, bad, marks = (f"{base}/{n}" for n in ("staging", "bronze", "silver", "bad", "marks"))
     raw_matches(spark, sf_dir).select("doc").write.text(f"{base}/raw")
     raw = spark.read.schema(PAYLOAD_DDL).json(f"{base}/raw")
-    for day in (MIDDLE, "2024-01-17"):
+    for day in ("2024-01-29", "2024-01-30"):
         land_matches(spark, raw, staging, day)
         ingest_matches(spark, staging, bronze, bad, dt.datetime.fromisoformat(f"{day} 23:00:00"), documents=False)
         transform_matches(spark, bronze, silver, bad, marks, dt.datetime.fromisoformat(f"{day} 23:30:00"))
-    for number in range(18, 31):
-        land_matches(spark, raw, staging, f"2024-01-{number}")
-    ingest_matches(spark, staging, bronze, bad, dt.datetime(2024, 1, 31, 1), documents=False)
-    transform_matches(spark, bronze, silver, bad, marks, dt.datetime(2024, 1, 31, 2))
     return (
         read_matches(spark, silver)
         .drop("updated_at")
