@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratafold.functions.temporal import stamp
+from stratafold.operators.writers import append_partitions, overwrite_partitions
 
 Rule = tuple[str, Column]
 
@@ -47,3 +48,13 @@ def quarantine_rows(
         stamp(as_of).alias("quarantined_at"),
         F.lit(quarantine_date).alias("quarantine_date"),
     )
+
+
+def write_quarantine(rows: DataFrame, path: str, *, replace: bool = False) -> None:
+    """Store quarantine records by date and reason.
+
+    By default they are added, again on every rerun, for no evidence may get
+    lost; ``replace`` puts them in the place of those of the same date and reason.
+    """
+    write = overwrite_partitions if replace else append_partitions
+    write(rows, path, ["quarantine_date", "quarantine_reason"])

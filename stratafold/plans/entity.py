@@ -12,9 +12,9 @@ from stratafold.functions.text import null_to_sentinel, strip_accents
 from stratafold.operators.dedup import latest_per_key
 from stratafold.operators.merge import assert_not_shrinking, merge_table
 from stratafold.operators.quality import bundled_suite, quality_summary, run_suite
-from stratafold.operators.quarantine import NULL_ID, quarantine_rows, split_invalid
+from stratafold.operators.quarantine import NULL_ID, quarantine_rows, split_invalid, write_quarantine
 from stratafold.operators.versions import VersionedTable
-from stratafold.operators.writers import append_partitions, overwrite_partitions
+from stratafold.operators.writers import overwrite_partitions
 from stratafold.plans import contracts as c
 from stratafold.sources.files import partition, scan_json, scan_table
 from stratafold.workspace import materialise
@@ -81,8 +81,7 @@ def transform_snapshot(
 
     good, bad = split_invalid(snapshot, [(NULL_ID, F.col("id").isNull())])
     if not bad.isEmpty():
-        rows = quarantine_rows(bad, c.ENTITY_QUARANTINED, run_date, as_of)
-        append_partitions(rows, quarantine, ["quarantine_date"])
+        write_quarantine(quarantine_rows(bad, c.ENTITY_QUARANTINED, run_date, as_of), quarantine)
     if good.isEmpty():
         return False
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,13 +49,14 @@ def fact(silver: DataFrame) -> DataFrame:
     )
 
 
-def mart(fact_table: DataFrame, locations: DataFrame) -> DataFrame:
+def mart(fact_table: DataFrame, locations: DataFrame, rank_within: Sequence[str] = ("state",)) -> DataFrame:
+    """Coverage per location, ranked by default among all places of one state name."""
     return coverage_mart(
         fact_table,
         locations,
         location_key="location_key",
         show=c.LOCATION_COLUMNS,
-        rank_within=["state"],
+        rank_within=rank_within,
         names=c.COVERAGE_NAMES,
     )
 

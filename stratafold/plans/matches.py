@@ -26,8 +26,9 @@ from stratafold.operators.quarantine import (
     NULL_MATCH_ID,
     quarantine_rows,
     split_invalid,
+    write_quarantine,
 )
-from stratafold.operators.writers import append_partitions, land_json_by_date, overwrite_partitions
+from stratafold.operators.writers import land_json_by_date, overwrite_partitions
 from stratafold.plans import contracts as c
 from stratafold.sources.files import scan_dated_json, scan_table
 from stratafold.sources.payload import finished, flatten_payload, landing_slice
@@ -71,7 +72,8 @@ def ingest_matches(
     if not undated.isEmpty():
         rows = undated.withColumn("ingested_at", stamp(as_of))
         today = as_of.date().isoformat()
-        append_partitions(quarantine_rows(rows, c.MATCH_QUARANTINED, today, as_of), quarantine, ["quarantine_date"])
+        # Such a file is met again on every run: one record a day is enough.
+        write_quarantine(quarantine_rows(rows, c.MATCH_QUARANTINED, today, as_of), quarantine, replace=True)
 
     newest = high_watermark(scan_table(spark, bronze, c.MATCH_BRONZE), "ingestion_date")
     fresh = increment(dated, "ingestion_date", newest, full_refresh=full_refresh)
@@ -148,8 +150,8 @@ def transform_matches(
 
     good, bad = split_invalid(fresh, [(NULL_MATCH_ID, F.col("ge_match_id").isNull())])
     if not bad.isEmpty():
-        rows = quarantine_rows(bad, c.MATCH_QUARANTINED, as_of.date().isoformat(), as_of)
-        append_partitions(rows, quarantine, ["quarantine_date"])
+        today = as_of.date().isoformat()
+        write_quarantine(quarantine_rows(bad, c.MATCH_QUARANTINED, today, as_of), quarantine)
     if good.isEmpty():
         return False
 

@@ -51,6 +51,7 @@ def scan_dated_json(
 ) -> DataFrame | None:
     """All dates of a feed in one scan, the date taken from each file's path.
 
+    A later filter on the date column drops whole files before they are read.
     Gives None when no file matches.
     """
     scan = or_none(lambda: scan_json(spark, glob, schema, documents=documents))

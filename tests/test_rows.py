@@ -12,9 +12,9 @@ from stratafold.operators.dedup import latest_per_key, latest_per_key_agg
 from stratafold.operators.incremental import high_watermark, increment
 from stratafold.operators.joins import broadcast_if_small, missing_references
 from stratafold.operators.lookup import LookupStep, coverage, lookup_cascade, prepare_lookup
-from stratafold.operators.quarantine import NULL_ID, quarantine_rows, split_invalid
+from stratafold.operators.quarantine import NULL_ID, quarantine_rows, split_invalid, write_quarantine
 from stratafold.operators.ranking import dense_rank_within
-from stratafold.operators.writers import append_partitions, overwrite_partitions, replace_table
+from stratafold.operators.writers import overwrite_partitions, replace_table
 from stratafold.plans.contracts import bundled_table
 from stratafold.plans.matches import add_stadium_state, derive_match_columns
 from tests.conftest import plan_of
@@ -69,9 +69,11 @@ def test_quarantine_is_appended_again_on_a_rerun(spark, base):
     _, bad = split_invalid(df, [(NULL_ID, F.col("id").isNull())])
     rows = quarantine_rows(bad, ["id", "name"], "2026-01-15", dt.datetime(2026, 1, 15, 6))
     for _ in range(2):
-        append_partitions(rows, f"{base}/q", ["quarantine_date"])
+        write_quarantine(rows, f"{base}/q")
     stored = spark.read.parquet(f"{base}/q")
     assert stored.count() == 2 and stored.first().quarantine_reason == "NULL_ID"
+    write_quarantine(rows, f"{base}/q", replace=True)
+    assert spark.read.parquet(f"{base}/q").count() == 1
 
 
 def test_null_check_reaches_the_scan(spark, base):

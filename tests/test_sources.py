@@ -2,8 +2,10 @@ import json
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratafold.operators.incremental import increment
 from stratafold.operators.writers import replace_table
 from stratafold.plans import contracts as c
 from stratafold.sources.files import CORRUPT_COLUMN, or_none, partition, scan_csv, scan_dated_json, scan_json, scan_table
@@ -42,6 +44,20 @@ def test_date_comes_from_the_path(spark, tmp_path):
     assert len(rows) == 4 and all(r.id == r.ingestion_date for r in rows)
 
 
+def test_a_watermark_drops_whole_files(spark, tmp_path):
+    for n in range(1, 10):
+        put(tmp_path / "feed" / f"2026-05-0{n}", "matches.json", [{"id": "x", "n": n}])
+    dated = scan_dated_json(spark, f"{tmp_path}/feed/*/matches.json", SMALL)
+    fresh = increment(dated.filter(F.col("ingestion_date") != ""), "ingestion_date", "2026-05-08")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        execution = fresh._jdf.queryExecution()
+        assert execution.toRdd().count() == 2
+        assert execution.executedPlan().collectLeaves().apply(0).metrics().apply("numFiles").value() == 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_missing_source_is_none_but_other_errors_pass(spark, tmp_path):
     assert scan_dated_json(spark, f"{tmp_path}/nothing/*/m.json", SMALL) is None
     assert scan_table(spark, f"{tmp_path}/nothing") is None

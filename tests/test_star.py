@@ -65,3 +65,5 @@ def test_mart(spark):
     assert [rows[k].city_state_rank for k in (("austria", "wien"), ("Germany", "Wien"), ("Austria", "Graz"))] == [1, 2, 3]
     assert rows["Austria", "Graz"].active_ratio == 0.0 and vienna.active_ratio == 100.0
     assert sum(r.total_breweries for r in rows.values()) == 5
+    within = gold.mart(gold.fact(s), gold.dim_locations(s), ["country", "state"]).collect()
+    assert {r.city: r.city_state_rank for r in within if r.country == "Germany"} == {"Wien": 1}

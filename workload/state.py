@@ -13,9 +13,9 @@ from stratafold.operators.lookup import LookupStep, coverage, lookup_cascade, lo
 from stratafold.operators.maintenance import expired_versions, orphan_files
 from stratafold.operators.merge import merge_newer, merge_table, merge_touched_partitions, shrink_report
 from stratafold.operators.quality import evaluate, Rule
-from stratafold.operators.quarantine import NULL_ID, quarantine_rows, split_invalid
+from stratafold.operators.quarantine import NULL_ID, quarantine_rows, split_invalid, write_quarantine
 from stratafold.operators.scd2 import apply_changes, as_of, closed_versions, open_versions, version_intervals
-from stratafold.operators.writers import append_partitions, replace_table
+from stratafold.operators.writers import replace_table
 from stratafold.workspace import fresh_path, materialise
 from workload.feeds import MIDDLE_TS, before_middle
 from workload.proxies import ENTITY_SQL, ORDER_STATE_SQL, SPLIT_DATE, entities
@@ -55,7 +55,7 @@ def quarantine_split_query(spark, sf_dir):
     good, bad = split_invalid(rows, [(NULL_ID, F.col("id").isNull()), ("NULL_STATE", F.col("state").isNull())])
     path = fresh_path(spark, "quarantine")
     records = quarantine_rows(bad, ["name", "id", "state"], "2024-02-01", instant(RUN))
-    append_partitions(records, path, ["quarantine_date"])
+    write_quarantine(records, path)
     kept = spark.read.schema(records.schema).parquet(path)
     return kept.unionByName(good, allowMissingColumns=True)
 
