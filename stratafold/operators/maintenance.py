@@ -32,7 +32,7 @@ def compact(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     Small files of a partition are packed together and oversized ones split,
     while the rows stay the same.
     """
-    replace_table(df, path, by)
+    replace_table(df if by else df.hint("rebalance"), path, by)
 
 
 def partition_files(spark: SparkSession, path: str, by: str) -> DataFrame:
@@ -126,7 +126,8 @@ def maintain(
     expired or failed versions, not as many as files.
     """
     spark = table.spark
-    table.publish(table.read(), as_of, by=by)
+    newest = table.read()
+    table.publish(newest if by else newest.hint("rebalance"), as_of, by=by)
 
     expired = table.expire(
         expired_versions(table.log(), as_of, retention_days=retention_days, keep=keep)

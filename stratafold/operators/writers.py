@@ -1,9 +1,10 @@
 """Partitioned table writers.
 
-Every partitioned write first asks for a rebalance on the partition columns:
-adaptive execution then gives small partitions one file each and splits a hot
-partition over several tasks, so neither many tiny files nor one huge writer
-task appears.
+A write into several partitions first asks for a rebalance on the partition
+columns: adaptive execution then gives small partitions one file each and splits
+a hot partition over several tasks, so neither many tiny files nor one huge
+writer task appears.  A write without partition columns, or of a single
+partition, keeps the partitioning its rows come in and shuffles nothing.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 MAX_LISTED_PARTITIONS = 10_000
 
@@ -19,17 +21,19 @@ MAX_LISTED_PARTITIONS = 10_000
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def rebalanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.hint("rebalance", *columns) if columns else df.hint("rebalance")
+def rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", *by) if by else df
 
 
-def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str], *, single: bool = False) -> None:
     """Replace exactly the partitions ``df`` has rows for; create the table if missing.
 
     Running it twice with the same rows leaves the same table.  ``df`` must not
-    read ``path`` itself: materialise it elsewhere first.
+    read ``path`` itself: materialise it elsewhere first.  ``single`` says that
+    all rows belong to one partition.
     """
-    writer = rebalanced(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows = df if single else rebalanced(df, by)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*by).parquet(path)
 
 
@@ -58,13 +62,14 @@ def in_partitions(table: DataFrame, wanted: DataFrame, partition: str) -> tuple[
     Up to a limit the values become literals, so only those partitions are
     listed and read; beyond it they are joined.
     """
+    kind = table.schema[partition].dataType
+    value = F.col(wanted.columns[0])
+    if isinstance(wanted.schema[0].dataType, StringType):
+        value = F.nullif(value, F.lit(NULL_PARTITION))
+    wanted = wanted.select(value.cast(kind).alias("_wanted"))
     values = [row[0] for row in wanted.limit(MAX_LISTED_PARTITIONS + 1).collect()]
     column = F.col(partition)
     if len(values) > MAX_LISTED_PARTITIONS:
-        named = wanted.select(F.col(wanted.columns[0]).cast(table.schema[partition].dataType).alias("_wanted"))
-        return table.join(named, column.eqNullSafe(F.col("_wanted")), "left_semi"), wanted.count()
-    kind = table.schema[partition].dataType
-    condition = column.isin([F.lit(v).cast(kind) for v in values if v not in (None, NULL_PARTITION)])
-    if None in values or NULL_PARTITION in values:
-        condition = condition | column.isNull()
-    return table.filter(condition), len(values)
+        return table.join(wanted, column.eqNullSafe(F.col("_wanted")), "left_semi"), wanted.count()
+    condition = column.isin([v for v in values if v is not None])
+    return table.filter(condition | column.isNull() if None in values else condition), len(values)

@@ -42,7 +42,7 @@ def ingest_snapshot(
     staged = materialise(with_ingest_columns(landed, run_date, as_of), "entity-bronze")
     rows = quality_summary(staged, "bronze", ["id", "name", "brewery_type"])["row_count"]
     run_suite(staged, bundled_suite("entity_bronze"))
-    overwrite_partitions(staged, bronze, ["ingestion_date"])
+    overwrite_partitions(staged, bronze, ["ingestion_date"], single=True)
     return rows
 
 

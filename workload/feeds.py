@@ -214,6 +214,6 @@ def audit_publish_query(spark, sf_dir):
 def compaction_query(spark, sf_dir):
     scattered, packed = fresh_path(spark, "scattered"), fresh_path(spark, "packed")
     events = with_day(table(spark, sf_dir, "events"))
-    events.repartition(16).write.partitionBy("day").parquet(scattered)
+    events.repartition(4).write.partitionBy("day").parquet(scattered)
     compact(spark.read.schema(events.schema).parquet(scattered), packed, ["day"])
     return spark.read.schema(events.schema).parquet(packed)
