@@ -196,11 +196,13 @@ def merge_newer(target: DataFrame | None, source: DataFrame, *, keys: Sequence[s
 def shrink_report(source: DataFrame, target: DataFrame, active: str = "is_active") -> DataFrame:
     """One row: active rows before, rows now, the least allowed, and the verdict.
 
-    Both counts come from one job.  No active rows before means nothing to lose.
+    Both counts come from one aggregation.  No active rows before means nothing to lose.
     """
-    now = source.agg(F.lit(0).cast("bigint").alias("before"), F.count("*").alias("now"))
-    before = target.agg(F.count_if(F.col(active)).alias("before"), F.lit(0).cast("bigint").alias("now"))
-    counts = now.unionByName(before).agg(F.sum("before").alias("previous_active"), F.sum("now").alias("current_rows"))
+    before = target.filter(F.col(active)).select(F.lit(1).alias("_before"), F.lit(0).alias("_now"))
+    now = source.select(F.lit(0).alias("_before"), F.lit(1).alias("_now"))
+    counts = before.union(now).agg(
+        F.count_if(F.col("_before") == 1).alias("previous_active"), F.count_if(F.col("_now") == 1).alias("current_rows")
+    )
     threshold = F.floor(F.col("previous_active").cast("double") * F.lit(1 - MAX_SHRINK))
     return counts.withColumn("threshold", threshold.cast("bigint")).withColumn(
         "passed", (F.col("previous_active") == 0) | (F.col("current_rows") >= F.col("threshold"))

@@ -38,6 +38,16 @@ def split_invalid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Data
     return good, bad
 
 
+def count_invalid(df: DataFrame, rules: Sequence[Rule]) -> tuple[int, int]:
+    """(all rows, rows that break a rule), reading only what the rules look at."""
+    broken = [F.coalesce(predicate, F.lit(False)) for _, predicate in rules]
+    any_broken = broken[0]
+    for predicate in broken[1:]:
+        any_broken = any_broken | predicate
+    row = df.agg(F.count("*"), F.count_if(any_broken)).first()
+    return row[0], row[1]
+
+
 def quarantine_rows(
     bad: DataFrame, keep: Sequence[str], quarantine_date: str, as_of: dt.datetime | Column | None = None
 ) -> DataFrame:

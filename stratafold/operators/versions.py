@@ -21,7 +21,8 @@ from stratafold.operators.writers import replace_table
 from stratafold.sources.files import scan_table
 from stratafold.workspace import fresh_path
 
-LOG_SCHEMA = "version BIGINT, name STRING, published_at TIMESTAMP"
+LOG_SCHEMA = StructType().add("version", "long").add("name", "string").add("published_at", "timestamp")
+EXPIRED_SCHEMA = StructType().add("version", "long")
 
 Audit = Callable[[DataFrame], object]
 
@@ -48,10 +49,10 @@ class VersionedTable:
 
     def log(self) -> DataFrame:
         """The live versions, one row each."""
-        published = scan_table(self.spark, self.log_path)
+        published = scan_table(self.spark, self.log_path, LOG_SCHEMA)
         if published is None:
             return self.spark.createDataFrame([], LOG_SCHEMA)
-        expired = scan_table(self.spark, self.expired_path)
+        expired = scan_table(self.spark, self.expired_path, EXPIRED_SCHEMA)
         return published if expired is None else published.join(expired, "version", "left_anti")
 
     def read(self) -> DataFrame | None:
@@ -90,7 +91,7 @@ class VersionedTable:
         """Take versions off the live log; their files become orphans."""
         path = fresh_path(self.spark, "expiring")
         versions.select("version").coalesce(1).write.parquet(path)
-        gone = self.spark.read.schema("version BIGINT").parquet(path)
+        gone = self.spark.read.schema(EXPIRED_SCHEMA).parquet(path)
         count = gone.count()
         if count:
             gone.write.mode("append").parquet(self.expired_path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,13 +12,14 @@ from stratafold.functions.temporal import logical_timestamp, stamp
 from stratafold.functions.text import null_to_sentinel, strip_accents
 from stratafold.operators.dedup import latest_per_key
 from stratafold.operators.merge import assert_not_shrinking, merge_table
-from stratafold.operators.quality import bundled_suite, quality_summary, run_suite
-from stratafold.operators.quarantine import NULL_ID, quarantine_rows, split_invalid, write_quarantine
+from stratafold.operators.quality import bundled_suite, materialise_with_summary, run_suite
+from stratafold.operators.quarantine import NULL_ID, count_invalid, quarantine_rows, split_invalid, write_quarantine
 from stratafold.operators.versions import VersionedTable
 from stratafold.operators.writers import overwrite_partitions
 from stratafold.plans import contracts as c
 from stratafold.sources.files import partition, scan_json, scan_table
-from stratafold.workspace import materialise
+
+logger = logging.getLogger(__name__)
 
 
 def with_ingest_columns(df: DataFrame, run_date: str, as_of: dt.datetime | None) -> DataFrame:
@@ -39,11 +41,12 @@ def ingest_snapshot(
     read columns from there.  Returns the rows written.
     """
     landed = scan_json(spark, f"{staging.rstrip('/')}/{run_date}/", c.ENTITY)
-    staged = materialise(with_ingest_columns(landed, run_date, as_of), "entity-bronze")
-    rows = quality_summary(staged, "bronze", ["id", "name", "brewery_type"])["row_count"]
+    staged, summary = materialise_with_summary(
+        with_ingest_columns(landed, run_date, as_of), "entity-bronze", "bronze", ["id", "name", "brewery_type"]
+    )
     run_suite(staged, bundled_suite("entity_bronze"))
     overwrite_partitions(staged, bronze, ["ingestion_date"], single=True)
-    return rows
+    return summary["row_count"]
 
 
 def clean_entities(good: DataFrame) -> DataFrame:
@@ -76,17 +79,16 @@ def transform_snapshot(
     if history is None:
         return False
     snapshot = partition(history, "ingestion_date", run_date)
-    if snapshot.isEmpty():
-        return False
-
-    good, bad = split_invalid(snapshot, [(NULL_ID, F.col("id").isNull())])
-    if not bad.isEmpty():
+    rules = [(NULL_ID, F.col("id").isNull())]
+    rows, invalid = count_invalid(snapshot, rules)
+    good, bad = split_invalid(snapshot, rules)
+    if invalid:
+        logger.warning("%d of %d rows go to quarantine", invalid, rows)
         write_quarantine(quarantine_rows(bad, c.ENTITY_QUARANTINED, run_date, as_of), quarantine)
-    if good.isEmpty():
+    if rows == invalid:
         return False
 
-    source = materialise(clean_entities(good), "entity-source")
-    quality_summary(source, "silver", ["id", *c.ENTITY_ATTRIBUTES])
+    source, _ = materialise_with_summary(clean_entities(good), "entity-source", "silver", ["id", *c.ENTITY_ATTRIBUTES])
     table = silver_table(spark, silver_root)
     current = table.read()
     assert_not_shrinking(source, current)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +21,11 @@ from stratafold.operators.lookup import (
     prepare_lookup,
 )
 from stratafold.operators.merge import merge_touched_partitions
-from stratafold.operators.quality import bundled_suite, quality_summary, run_suite
+from stratafold.operators.quality import bundled_suite, materialise_with_summary, run_suite
 from stratafold.operators.quarantine import (
     BAD_PATH_DATE,
     NULL_MATCH_ID,
+    count_invalid,
     quarantine_rows,
     split_invalid,
     write_quarantine,
@@ -34,6 +36,8 @@ from stratafold.sources.files import scan_dated_json, scan_table
 from stratafold.sources.payload import finished, flatten_payload, landing_slice
 from stratafold.workspace import materialise
 
+logger = logging.getLogger(__name__)
+
 MONTH = "match_month"
 
 
@@ -148,24 +152,28 @@ def transform_matches(
     if newest is None:
         return False
 
-    good, bad = split_invalid(fresh, [(NULL_MATCH_ID, F.col("ge_match_id").isNull())])
-    if not bad.isEmpty():
+    rules = [(NULL_MATCH_ID, F.col("ge_match_id").isNull())]
+    good, bad = split_invalid(fresh, rules)
+    rows, invalid = count_invalid(fresh, rules)
+    if invalid:
+        logger.warning("%d of %d rows go to quarantine", invalid, rows)
         today = as_of.date().isoformat()
         write_quarantine(quarantine_rows(bad, c.MATCH_QUARANTINED, today, as_of), quarantine)
-    if good.isEmpty():
+    if rows == invalid:
         return False
 
     ties = ["ingestion_date", "date", "kickoff_time", "score_home", "score_away", "stadium"]
     latest = latest_per_key(good, ["ge_match_id"], "ingested_at", ties)
     enriched = add_stadium_state(derive_match_columns(latest))
     # Date folders and months are partition values: every row needs a date.
-    source = materialise(
+    source, _ = materialise_with_summary(
         enriched.withColumn(MONTH, month_of("match_date")).select(
             *[n for n in c.MATCH_SILVER.names if n in enriched.columns], MONTH
         ),
         "match-source",
+        "silver",
+        ["ge_match_id", "match_date", "stadium_state"],
     )
-    quality_summary(source, "silver", ["ge_match_id", "match_date", "stadium_state"])
     stored = c.T.StructType([*c.MATCH_SILVER.fields, c.T.StructField(MONTH, c.T.DateType())])
     current = scan_table(spark, silver, stored)
     target = spark.createDataFrame([], stored) if current is None else current

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -33,13 +34,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, observe: Observation | None = None, metrics: Sequence[Column] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several jobs need the same result: unlike a cached copy it
-    survives lost executors, and later reads still prune columns.
+    survives lost executors, and later reads still prune columns.  ``metrics``
+    are computed while writing and found in ``observe`` afterwards.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    rows = df if observe is None else df.observe(observe, *metrics)
+    rows.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
