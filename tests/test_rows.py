@@ -12,7 +12,7 @@ from stratafold.operators.dedup import latest_per_key, latest_per_key_agg
 from stratafold.operators.incremental import high_watermark, increment
 from stratafold.operators.joins import broadcast_if_small, missing_references
 from stratafold.operators.lookup import LookupStep, coverage, lookup_cascade, prepare_lookup
-from stratafold.operators.quarantine import NULL_ID, quarantine_rows, split_invalid, write_quarantine
+from stratafold.operators.quarantine import NULL_ID, count_invalid, quarantine_rows, split_invalid, write_quarantine
 from stratafold.operators.ranking import dense_rank_within
 from stratafold.operators.writers import overwrite_partitions, replace_table
 from stratafold.plans.contracts import bundled_table
@@ -64,6 +64,13 @@ def test_split_is_a_partition_of_the_input(spark):
     assert good.count() == 3 and bad.count() == 1
 
 
+def test_invalid_rows_are_counted_once(spark):
+    df = spark.createDataFrame([("a", 1), (None, 1), (None, None)], "id string, n int")
+    rules = [(NULL_ID, F.col("id").isNull()), ("SMALL", F.col("n") < 1)]
+    assert count_invalid(df, rules) == (3, 2)
+    assert count_invalid(df.limit(0), rules) == (0, 0)
+
+
 def test_quarantine_is_appended_again_on_a_rerun(spark, base):
     df = spark.createDataFrame([(None, "x")], "id string, name string")
     _, bad = split_invalid(df, [(NULL_ID, F.col("id").isNull())])

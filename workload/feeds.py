@@ -77,11 +77,11 @@ def json_glob_path_date_query(spark, sf_dir):
     return scan_dated_json(spark, f"{folder}/*/*.json", schema, documents=False)
 
 
-@query("csv_dimension", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("csv_dimension", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def csv_dimension_query(spark, sf_dir):
     folder = fresh_path(spark, "seed")
-    table(spark, sf_dir, "nation").write.option("header", True).csv(folder)
-    return scan_csv(spark, folder, "n_nationkey INT, n_name STRING, n_regionkey INT")
+    table(spark, sf_dir, "supplier").write.option("header", True).csv(folder)
+    return scan_csv(spark, folder, "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE")
 
 
 def landed_matches(spark, sf_dir):
