@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stratafold.llm import exact_dedup, near_dedup, packing, token_files
+from stratafold.llm import exact_dedup, near_dedup, packing, quality, token_files
 from stratafold.llm.rows import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +32,17 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_token_files": op3_token_files,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {
