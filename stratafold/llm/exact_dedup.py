@@ -37,7 +37,8 @@ def frequent_digests(digests: DataFrame, rows: int, counters: int = COUNTERS) ->
         .groupBy("lane")
         .agg(F.expr(f"approx_top_k_accumulate(h, {counters})").alias("summary"))
     )
-    merged = partial.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(summary, {counters}), {counters})").alias("top"))
+    # Grouped by a constant: an empty partition then has no summary to merge.
+    merged = partial.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(summary, {counters}), {counters})").alias("top"))
     candidates = merged.select(F.explode("top").alias("t")).select(F.col("t.item").alias("h"))
     return (
         digests.join(F.broadcast(candidates), F.xxhash64("text_sha256") == F.col("h"), "left_semi")
