@@ -2,6 +2,8 @@
 
 A stage takes (spark, docs, sf_dir) and returns the documents it keeps, which are written
 as Parquet and read again as the next stage's input; the last one returns packed pieces.
+Empty input gives empty output in every stage, and columns beyond those named are passed on
+up to the last stage.  What a stage does with NULL texts and the like is said in its operator.
 """
 
 from __future__ import annotations
@@ -9,23 +11,61 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratafold.llm import packing
+from stratafold.llm import decontaminate, line_dedup, near_dedup, packing, quality
 from stratafold.llm.queries import TOKENIZER
-from stratafold.llm.rows import read_table
+from stratafold.llm.rows import read_table, unused_name
 from stratafold.workspace import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, learned from ``labels``, accepts."""
+    return quality.keep_good(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without boilerplate lines; one that had nothing else goes.  ``n_chars`` is kept true."""
+    cleaned = line_dedup.drop_spread_lines(docs)
+    removed = cleaned.columns[-1]
+    kept = cleaned.filter((F.col(removed) == 0) | (F.length(F.trim("text")) > 0))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        kept = kept.withColumn("n_chars", F.when(F.col(removed) > 0, length).otherwise(F.col("n_chars")))
+    return kept.select(docs.columns)
+
+
+def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest doc_id.
+
+    Rows without a doc_id cannot be named and stay.
+    """
+    group, kept = unused_name(docs, "gone_id"), near_dedup.near_dedup(docs)
+    gone = kept.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(group)).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col(group), "left_anti")
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no item of ``benchmark`` is found."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing: one row per piece of a document, with its bin."""
     return packing.best_fit(packing.token_lengths(docs, TOKENIZER))
 
 
-STAGES: list[tuple[str, Stage]] = [("best_fit_packing", pack)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", keep_good),
+    ("line_dedup", drop_boilerplate),
+    ("minhash_near_dedup", keep_one_of_near),
+    ("benchmark_decontamination", drop_leaks),
+    ("best_fit_packing", pack),
+]
 
-# Learned scores and best-fit bins are beyond SQL.
+# Learned scores, linked groups and best-fit bins are beyond SQL; tests compare each stage with a plain version.
 ORACLE_SQL: str | None = None
 
 
