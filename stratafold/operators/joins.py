@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from stratafold.workspace import materialise
+
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def _width(table: DataFrame) -> Column:
+    return sum(
+        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns),
+        F.lit(0),
+    )
+
+
 def broadcast_if_small(
     table: DataFrame,
     max_rows: int = MAX_BROADCAST_ROWS,
@@ -19,14 +28,24 @@ def broadcast_if_small(
     The check stops reading after ``max_rows + 1`` rows.  Without the hint the
     join shuffles, and adaptive execution splits partitions of hot keys.
     """
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns),
-        F.lit(0),
-    )
-    probe = table.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    probe = table.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(_width(table)), F.lit(0))).first()
     return F.broadcast(table) if probe[0] <= max_rows and probe[1] <= max_bytes else table
 
 
+def written_and_measured(
+    table: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """``table`` written once to the shared folder, with a broadcast hint if it turned out small.
+
+    For tables that cost something to compute: rows and bytes are counted while it is written.
+    """
+    seen = Observation()
+    counts = [F.count("*").alias("rows"), F.coalesce(F.sum(_width(table)), F.lit(0)).alias("bytes")]
+    kept = materialise(table, label, seen, counts)
+    found = seen.get
+    return F.broadcast(kept) if found["rows"] <= max_rows and found["bytes"] <= max_bytes else kept
+
+
 def missing_references(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child keys without a parent and how many rows hold each; NULL keys are ignored.
 

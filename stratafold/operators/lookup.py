@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratafold.functions.text import strip_accents
-from stratafold.operators.joins import broadcast_if_small
+from stratafold.operators.joins import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, written_and_measured
 
 # Tags for where a value came from, and the value when none knows.
 FROM_VENUE = "STADIUM_LOOKUP"
@@ -27,6 +27,9 @@ class LookupStep:
     origin: str
     key: str = "key"
     value: str = "value"
+    # Up to both bounds the table is broadcast, beyond them the join shuffles.
+    max_rows: int = MAX_BROADCAST_ROWS
+    max_bytes: int = MAX_BROADCAST_BYTES
 
 
 def prepare_lookup(
@@ -53,7 +56,8 @@ def prepare_lookup(
 def lookup_left(df: DataFrame, step: LookupStep, into: str) -> DataFrame:
     """Left join of one lookup table, its value in column ``into``."""
     on = F.col(step.on) if isinstance(step.on, str) else step.on
-    small = broadcast_if_small(step.table.select(F.col(step.key).alias("_key"), F.col(step.value).alias(into)))
+    known = step.table.select(F.col(step.key).alias("_key"), F.col(step.value).alias(into))
+    small = written_and_measured(known, "lookup", step.max_rows, step.max_bytes)
     return df.join(small, on == F.col("_key"), "left").drop("_key")
 
 

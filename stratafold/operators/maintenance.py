@@ -6,13 +6,14 @@ import datetime as dt
 import logging
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from stratafold.functions.text import regex_group
 from stratafold.operators.versions import VersionedTable
 from stratafold.operators.writers import in_partitions, overwrite_partitions, replace_table
-from stratafold.workspace import materialise
+from stratafold.sources.files import folder_entries
+from stratafold.workspace import delete_folder, materialise
 
 logger = logging.getLogger(__name__)
 
@@ -22,8 +23,10 @@ RETENTION_DAYS = 30
 KEEP_VERSIONS = 5
 ORPHAN_GRACE_DAYS = 3
 
-# Partitions whose files are on average smaller than this are packed.
+# Files smaller than this are small.  Several of them are packed if they are on average smaller by
+# the second number: packed files may come out below the size, and are then left alone.
 SMALL_FILE_BYTES = 96 * 1024 * 1024
+PACK_GAIN = 4
 
 
 def compact(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
@@ -35,13 +38,24 @@ def compact(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     replace_table(df if by else df.hint("rebalance"), path, by)
 
 
-def partition_files(spark: SparkSession, path: str, by: str) -> DataFrame:
-    """Per partition of a table: its value as text, number of files, and bytes."""
-    value = F.url_decode(regex_group("path", f"/{by}=([^/]+)/"))
-    return (
+def partition_files(spark: SparkSession, path: str, by: str, small_file_bytes: int = SMALL_FILE_BYTES) -> DataFrame:
+    """Per partition of a table: its value as text, files, bytes, and how many files are small."""
+    # Folder names encode %XX only; a plus sign is one.
+    value = F.url_decode(F.replace(regex_group("path", f"/{by}=([^/]+)/"), F.lit("+"), F.lit("%2B")))
+    grouped = (
         list_files(spark, path)
         .groupBy(value.alias("partition"))
-        .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    )
+    return _file_counts(grouped, small_file_bytes)
+
+
+def _file_counts(grouped: GroupedData, small_file_bytes: int) -> DataFrame:
+    small = F.col("length") < small_file_bytes
+    return grouped.agg(
+        F.count("*").alias("files"),
+        F.sum("length").alias("bytes"),
+        F.count_if(small).alias("small_files"),
+        F.coalesce(F.sum(F.when(small, F.col("length"))), F.lit(0)).alias("small_bytes"),
     )
 
 
@@ -52,10 +66,9 @@ def compact_partitions(
 
     Returns how many partitions were rewritten.
     """
-    scattered = partition_files(table.sparkSession, path, by).filter(
-        (F.col("files") > 1) & (F.col("bytes") < F.col("files") * small_file_bytes)
-    )
-    rows, count = in_partitions(table, scattered.select("partition"), by)
+    files = partition_files(table.sparkSession, path, by, small_file_bytes)
+    scattered = materialise(_scattered(files, small_file_bytes).select("partition"), "scattered")
+    rows, count = in_partitions(table, scattered, by)
     if count:
         overwrite_partitions(materialise(rows, "packed"), path, [by])
     return count
@@ -111,6 +124,37 @@ def orphan_files(
     return settled.join(manifest.select(F.col(path).alias("_listed")), F.col(path) == F.col("_listed"), "left_anti")
 
 
+def _scattered(files: DataFrame, small_file_bytes: int) -> DataFrame:
+    """Groups of files (``files`` has small_files and small_bytes) that packing would make far fewer."""
+    packed = F.col("small_bytes") < F.col("small_files") * (small_file_bytes / PACK_GAIN)
+    return files.filter((F.col("small_files") > 1) & packed)
+
+
+def needs_packing(spark: SparkSession, path: str, small_file_bytes: int = SMALL_FILE_BYTES) -> bool:
+    """Whether some folder of a table has several files so small that packing helps."""
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    return not _scattered(_file_counts(list_files(spark, path).groupBy(folder), small_file_bytes), small_file_bytes).isEmpty()
+
+
+def unlisted_folders(table: VersionedTable, as_of: dt.datetime, grace_days: int = ORPHAN_GRACE_DAYS) -> list[str]:
+    """Version folders past the grace period that the log does not list, written to the end or not.
+
+    One level of folders is listed: there are as many as versions.  A folder is as old as the
+    newest of its direct entries, hidden ones and those of a write under way among them.
+    """
+    spark = table.spark
+    live = {r.name for r in table.log().select("name").collect()}
+    limit = (as_of - dt.timedelta(days=grace_days)).timestamp() * 1000
+    found = []
+    for entry in folder_entries(spark, table.data_path):
+        if entry.is_folder and entry.name not in live:
+            path = f"{table.data_path}/{entry.name}"
+            below = [e.modified_ms for p in (path, f"{path}/_temporary", f"{path}/_temporary/0") for e in folder_entries(spark, p)]
+            if max([entry.modified_ms, *below]) < limit:
+                found.append(path)
+    return found
+
+
 def maintain(
     table: VersionedTable,
     as_of: dt.datetime,
@@ -119,40 +163,24 @@ def maintain(
     retention_days: int = RETENTION_DAYS,
     keep: int = KEEP_VERSIONS,
     grace_days: int = ORPHAN_GRACE_DAYS,
+    small_file_bytes: int = SMALL_FILE_BYTES,
 ) -> dict[str, int]:
-    """Compact the newest version, expire old ones, remove unlisted version folders.
+    """Pack the newest version if its files are scattered, expire old ones, remove unlisted folders.
 
-    Folders are removed one by one from the driver: there are as many as
-    expired or failed versions, not as many as files.
+    A table that needs no packing gets no new version.  Folders are removed one by one
+    from the driver: there are as many as expired or failed versions, not as many as files.
     """
-    spark = table.spark
-    newest = table.read()
-    table.publish(newest if by else newest.hint("rebalance"), as_of, by=by)
-
+    packed = int(needs_packing(table.spark, table.newest_path(), small_file_bytes))
+    if packed:
+        newest = table.read()
+        table.publish(newest if by else newest.hint("rebalance"), as_of, by=by)
     expired = table.expire(
         expired_versions(table.log(), as_of, retention_days=retention_days, keep=keep)
     )
-
-    owner = regex_group("path", r"/versions/([^/]+)/")
-    live = table.log().select("name")
-    unlisted = (
-        list_files(spark, table.data_path)
-        .groupBy(owner.alias("name"))
-        .agg(F.max("modified_at").alias("modified_at"))
-        .join(live, "name", "left_anti")
-        .filter(F.col("modified_at") < F.lit(as_of) - F.make_dt_interval(F.lit(grace_days)))
-    )
-    removed = 0
-    for row in unlisted.select("name").toLocalIterator():
-        delete_folder(spark, f"{table.data_path}/{row.name}")
-        removed += 1
-    return {"expired": expired, "removed": removed}
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder with the file system its path belongs to."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    removed = unlisted_folders(table, as_of, grace_days)
+    for path in removed:
+        delete_folder(table.spark, path)
+    return {"packed": packed, "expired": expired, "removed": len(removed)}
 
 
 def sweep(tables: Iterable[VersionedTable], as_of: dt.datetime, **options) -> dict[str, dict[str, int]]:

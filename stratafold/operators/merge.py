@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stratafold.functions.temporal import stamp
 from stratafold.operators.incremental import high_watermark, increment
+from stratafold.operators.joins import broadcast_if_small
 from stratafold.operators.writers import in_partitions, overwrite_partitions
 from stratafold.workspace import materialise
 
@@ -52,6 +53,8 @@ def merge_table(
     rows whose values or activity change, so that increments downstream see
     real changes only.  ``evolve`` appends columns the target does not have.
 
+    The target is taken to hold each key once (audit it where that is not certain:
+    rows that share a key are each updated).
     Two source rows of one key, or a NULL key, make the job fail, unless
     ``source_is_unique`` says the caller has seen to that (``split_invalid``,
     ``latest_per_key``).
@@ -164,14 +167,15 @@ def merge_touched_partitions(
         raise ValueError("soft deletes reach every partition: write a new version instead")
     if partition in merge_options["update"]:
         raise ValueError("the partition column must not be updated")
+    wanted = broadcast_if_small(source.select(*keys).distinct())
     concerned = (
         target.select(*keys, partition)
-        .join(source.select(*keys).distinct(), keys, "left_semi")
+        .join(wanted, keys, "left_semi")
         .select(partition)
         .union(source.select(partition))
         .distinct()
     )
-    affected, _ = in_partitions(target, concerned, partition)
+    affected, _ = in_partitions(target, materialise(concerned, "concerned"), partition)
     merged = merge_table(affected, source, **merge_options)
     staged = materialise(merged, "merged")
     if audit is not None:
@@ -179,14 +183,18 @@ def merge_touched_partitions(
     overwrite_partitions(staged, path, [partition])
 
 
-def merge_newer(target: DataFrame | None, source: DataFrame, *, keys: Sequence[str], changed_at: str) -> DataFrame:
-    """Incremental fact: rows strictly newer than the target's newest are upserted.
+def merge_newer(
+    target: DataFrame | None, source: DataFrame, *, keys: Sequence[str], changed_at: str, inclusive: bool = False
+) -> DataFrame:
+    """Incremental fact: rows newer than the target's newest are upserted.
 
-    A missing or empty target takes everything.
+    ``inclusive`` also takes rows as new as the newest, for sources where late rows
+    bear a time already seen.  A missing or empty target takes everything; in any
+    case two source rows of one key, or a NULL key, make the job fail.
     """
-    fresh = increment(source, changed_at, high_watermark(target, changed_at), inclusive=False)
+    fresh = increment(source, changed_at, high_watermark(target, changed_at), inclusive=inclusive)
     if target is None:
-        return fresh
+        return _fail_on_duplicates(fresh, keys)
     columns = [c for c in source.columns if c not in keys]
     return merge_table(
         target, fresh, keys=keys, update=columns, active=None, stamped=None, evolve=True

@@ -60,11 +60,14 @@ def quarantine_rows(
     )
 
 
-def write_quarantine(rows: DataFrame, path: str, *, replace: bool = False) -> None:
-    """Store quarantine records by date and reason.
+def write_quarantine(rows: DataFrame, path: str, *, replace: bool = False, batch: int | None = None) -> None:
+    """Store quarantine records by date and reason, and by ``batch`` where batches are numbered.
 
     By default they are added, again on every rerun, for no evidence may get
-    lost; ``replace`` puts them in the place of those of the same date and reason.
+    lost; ``replace`` puts them in the place of those of the same date, reason and batch.
     """
+    by = ["quarantine_date", "quarantine_reason"]
+    if batch is not None:
+        rows, by = rows.withColumn("quarantine_batch", F.lit(batch).cast("bigint")), [*by, "quarantine_batch"]
     write = overwrite_partitions if replace else append_partitions
-    write(rows, path, ["quarantine_date", "quarantine_reason"])
+    write(rows, path, by)

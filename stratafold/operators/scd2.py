@@ -7,96 +7,56 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampType
 
 from stratafold.workspace import materialise
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 
-ROWS_PER_SLICE = 5_000_000
+RANGE = "_range"
 
 
 def version_intervals(
-    df: DataFrame,
-    keys: Sequence[str],
-    changed_at: str,
-    ties: Sequence[str],
-    *,
-    slice_seconds: int | None = None,
+    df: DataFrame, keys: Sequence[str], changed_at: str, ties: Sequence[str], *, ranges: int | None = None
 ) -> DataFrame:
     """Every version of a key with the time it came and the time the next came.
 
-    Of versions with the same key and time the last by ``ties`` counts.  Keys and
-    times must not be NULL (``split_invalid``).
+    Of versions with the same key and time the last by ``ties`` counts.  A NULL
+    key or time makes the job fail (``split_invalid`` sorts such rows out).
 
-    A key may have very many versions, so a large table is cut into slices of
-    time: the next version is looked for within a key's slice, and only the last
-    version of a slice asks for the first of the key's next slice.  By default
-    the slices are so narrow that no key can have more than about
-    ``ROWS_PER_SLICE`` evenly spread versions in one; a table smaller than that
-    is one slice.
+    A key may have very many versions, in any stretch of time.  So the rows are
+    cut, in order of key, time and ties, into ranges of about equal size
+    (``ranges``, by default the session's shuffle partitions): the next version
+    is looked for within a key's range, and the last version there ends with the
+    first one of the key's next range.  Every table takes this way, whatever its size.
     """
     if not ties:
         raise ValueError("name at least one tie-break column")
-    if slice_seconds is None:
-        slice_seconds = _slice_width(df, changed_at)
-    if slice_seconds is None:
-        whole = _chain(df, list(keys), changed_at, ties)
-        return whole.select(*df.columns, F.col(changed_at).alias(VALID_FROM), F.col("_next").alias(VALID_TO))
-
-    number = _slice(df, changed_at, slice_seconds)
-    chained = _chain(df.withColumn("_slice", number), [*keys, "_slice"], changed_at, ties)
-    starts = (
-        df.select(*keys, number.alias("_slice"), changed_at)
-        .groupBy(*keys, "_slice")
+    given = [*keys, changed_at]
+    present = F.col(given[0]).isNotNull()
+    for c in given[1:]:
+        present = present & F.col(c).isNotNull()
+    refuse = F.raise_error(F.lit(f"NULL among {', '.join(given)}")).cast("boolean")
+    order = [F.col(c) for c in [*keys, changed_at, *ties]]
+    checked = df.filter(F.when(present, F.lit(True)).otherwise(refuse))
+    cut = checked.repartitionByRange(*([ranges] if ranges else []), *order).sortWithinPartitions(*order)
+    ranged = materialise(cut.withColumn(RANGE, F.spark_partition_id()), "ranges")
+
+    within = Window.partitionBy(RANGE, *keys).orderBy(changed_at, *ties)
+    chained = ranged.withColumn("_next", F.lead(changed_at).over(within))
+    following = (
+        ranged.groupBy(RANGE, *keys)
         .agg(F.min(changed_at).alias("_first"))
+        .withColumn("_next_range", F.lead("_first").over(Window.partitionBy(*keys).orderBy(RANGE)))
+        .select(RANGE, *keys, "_next_range")
     )
-    following = starts.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_slice").alias("_k_slice"),
-        F.lead("_first").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_next_slice"),
+    until = F.coalesce("_next", "_next_range")
+    # In time order with ties, the last row of an instant is the one whose successor is later.
+    return (
+        chained.join(following, [RANGE, *keys])
+        .filter(until.isNull() | (until > F.col(changed_at)))
+        .select(*df.columns, F.col(changed_at).alias(VALID_FROM), until.alias(VALID_TO))
     )
-    match = _equal({**{k: f"_k_{k}" for k in keys}, "_slice": "_k_slice"})
-    return chained.join(following, match, "left").select(
-        *df.columns,
-        F.col(changed_at).alias(VALID_FROM),
-        F.coalesce("_next", "_next_slice").alias(VALID_TO),
-    )
-
-
-def _chain(df: DataFrame, groups: Sequence[str], changed_at: str, ties: Sequence[str]) -> DataFrame:
-    """The time of the next version within a group, as ``_next``.
-
-    In time order with ties, the last row of an instant is the one whose
-    successor is later, and that successor's time is its end.
-    """
-    order = Window.partitionBy(*groups).orderBy(changed_at, *ties)
-    chained = df.withColumn("_next", F.lead(changed_at).over(order))
-    return chained.filter(F.col("_next").isNull() | (F.col("_next") > F.col(changed_at)))
-
-
-def _seconds(df: DataFrame, column: str) -> Column:
-    """A time as a number that grows with it, whatever the session's time zone."""
-    c = F.col(column)
-    if isinstance(df.schema[column].dataType, TimestampType):
-        return F.unix_seconds(c)
-    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint") * 86_400
-    if isinstance(df.schema[column].dataType, DateType):
-        return days
-    return days + F.hour(c) * 3_600 + F.minute(c) * 60 + F.second(c)
-
-
-def _slice(df: DataFrame, column: str, width: int) -> Column:
-    return F.floor(_seconds(df, column) / F.lit(width)).cast("bigint")
-
-
-def _slice_width(df: DataFrame, column: str) -> int | None:
-    """Seconds per slice for the size of the table; None if one slice is enough."""
-    time = _seconds(df, column)
-    rows, first, last = df.agg(F.count("*"), F.min(time), F.max(time)).first()
-    slices = rows // ROWS_PER_SLICE
-    return max(1, (last - first + 1) // slices) if slices > 1 else None
 
 
 def open_versions(history: DataFrame) -> DataFrame:
@@ -114,7 +74,7 @@ def apply_changes(
     changed_at: str,
     ties: Sequence[str],
     *,
-    slice_seconds: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Open versions and a batch of changes, as the versions they become.
 
@@ -132,7 +92,7 @@ def apply_changes(
         .select(*batch.columns),
         "newer",
     )
-    added = version_intervals(newer, keys, changed_at, ties, slice_seconds=slice_seconds)
+    added = version_intervals(newer, keys, changed_at, ties, ranges=ranges)
     first_change = newer.groupBy(*open_keys).agg(F.min(changed_at).alias("_ends"))
     kept = history_open.join(first_change, match, "left").withColumn(VALID_TO, F.col("_ends"))
     return kept.select(*history_open.columns).unionByName(added)

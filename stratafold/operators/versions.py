@@ -21,7 +21,9 @@ from stratafold.operators.writers import replace_table
 from stratafold.sources.files import scan_table
 from stratafold.workspace import fresh_path
 
-LOG_SCHEMA = StructType().add("version", "long").add("name", "string").add("published_at", "timestamp")
+LOG_SCHEMA = (
+    StructType().add("version", "long").add("name", "string").add("published_at", "timestamp").add("batch", "long")
+)
 EXPIRED_SCHEMA = StructType().add("version", "long")
 
 Audit = Callable[[DataFrame], object]
@@ -71,11 +73,12 @@ class VersionedTable:
         *,
         by: Sequence[str] = (),
         audit: Audit | None = None,
+        batch: int | None = None,
     ) -> DataFrame:
         """Write ``df`` as a new version, audit what was written, then publish it.
 
         ``audit`` gets the staged table and raises to reject it: the newest
-        published version stays what it was.
+        published version stays what it was.  ``batch`` is logged with the version.
         """
         name = uuid.uuid4().hex
         path = f"{self.data_path}/{name}"
@@ -83,7 +86,7 @@ class VersionedTable:
         staged = self.spark.read.schema(_stored_schema(df, by)).parquet(path)
         if audit is not None:
             audit(staged)
-        entry = self.spark.createDataFrame([(self.number() + 1, name, as_of)], LOG_SCHEMA)
+        entry = self.spark.createDataFrame([(self.number() + 1, name, as_of, batch)], LOG_SCHEMA)
         entry.coalesce(1).write.mode("append").parquet(self.log_path)
         return staged
 
@@ -102,6 +105,16 @@ class VersionedTable:
         newest = self._newest()
         return -1 if newest is None else newest.version
 
+    def last_batch(self) -> int | None:
+        """The greatest batch number published, expired versions too; None if there is none."""
+        published = scan_table(self.spark, self.log_path, LOG_SCHEMA)
+        return None if published is None else published.agg(F.max("batch")).first()[0]
+
+    def newest_path(self) -> str | None:
+        """Where the newest published version lies."""
+        newest = self._newest()
+        return None if newest is None else f"{self.data_path}/{newest.name}"
+
     def _newest(self):
         return self.log().orderBy(F.col("version").desc()).first()
 

@@ -5,6 +5,10 @@ columns: adaptive execution then gives small partitions one file each and splits
 a hot partition over several tasks, so neither many tiny files nor one huge
 writer task appears.  A write without partition columns, or of a single
 partition, keeps the partitioning its rows come in and shuffles nothing.
+
+Folders cannot tell an empty text from NULL, so every writer stores an empty
+partition value as NULL: what is written, read back and looked for is the same.
+A table that must keep the difference partitions by a derived column instead.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+# Partitions named one by one in a filter, at most.
 MAX_LISTED_PARTITIONS = 10_000
 
 # Fixed value: the folder name Spark gives a NULL partition value.
@@ -22,6 +27,9 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``df`` with empty partition values as NULL, asked to be rebalanced on them."""
+    texts = [c for c in by if isinstance(df.schema[c].dataType, StringType)]
+    df = df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in texts}) if texts else df
     return df.hint("rebalance", *by) if by else df
 
 
@@ -30,7 +38,7 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str], *, single:
 
     Running it twice with the same rows leaves the same table.  ``df`` must not
     read ``path`` itself: materialise it elsewhere first.  ``single`` says that
-    all rows belong to one partition.
+    all rows belong to one partition, so that nothing needs rebalancing.
     """
     rows = df if single else rebalanced(df, by)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -56,20 +64,23 @@ def land_json_by_date(df: DataFrame, path: str, date_column: str = "date") -> No
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(date_column).json(path)
 
 
-def in_partitions(table: DataFrame, wanted: DataFrame, partition: str) -> tuple[DataFrame, int]:
+def in_partitions(
+    table: DataFrame, wanted: DataFrame, partition: str, *, max_listed: int = MAX_LISTED_PARTITIONS
+) -> tuple[DataFrame, int]:
     """The rows of the partitions a one-column frame names, and their number.
 
-    Up to a limit the values become literals, so only those partitions are
-    listed and read; beyond it they are joined.
+    Up to ``max_listed`` values become literals, so only those partitions are
+    listed and read; more of them are joined.  The rows are the same both ways.
+    An empty text means the NULL partition, as it does to the writers.
     """
     kind = table.schema[partition].dataType
     value = F.col(wanted.columns[0])
     if isinstance(wanted.schema[0].dataType, StringType):
-        value = F.nullif(value, F.lit(NULL_PARTITION))
-    wanted = wanted.select(value.cast(kind).alias("_wanted"))
-    values = [row[0] for row in wanted.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    column = F.col(partition)
-    if len(values) > MAX_LISTED_PARTITIONS:
+        value = F.nullif(F.nullif(value, F.lit(NULL_PARTITION)), F.lit(""))
+    wanted = wanted.select(value.cast(kind).alias("_wanted")).distinct()
+    values = [row[0] for row in wanted.limit(max_listed + 1).collect()]
+    column = F.nullif(F.col(partition), F.lit("")) if isinstance(kind, StringType) else F.col(partition)
+    if len(values) > max_listed:
         return table.join(wanted, column.eqNullSafe(F.col("_wanted")), "left_semi"), wanted.count()
-    condition = column.isin([v for v in values if v is not None])
+    condition = F.col(partition).isin([v for v in values if v is not None])
     return table.filter(condition | column.isNull() if None in values else condition), len(values)

@@ -44,7 +44,10 @@ MATCH = _fields(
     "match_url string, match_started boolean, source string, ge_match_id string"
 )
 MATCH_BRONZE = T.StructType(
-    [*MATCH.fields, *_fields("ingested_at timestamp, ingestion_ts timestamp, ingestion_date string").fields]
+    [
+        *MATCH.fields,
+        *_fields("ingested_at timestamp, ingestion_ts timestamp, ingest_batch long, ingestion_date string").fields,
+    ]
 )
 MATCH_SILVER = _fields(
     "ge_match_id string, matchweek integer, match_date date, kickoff_ts timestamp, home_team string, "

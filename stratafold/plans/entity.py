@@ -18,9 +18,12 @@ from stratafold.operators.versions import VersionedTable
 from stratafold.operators.writers import overwrite_partitions
 from stratafold.plans import contracts as c
 from stratafold.sources.files import partition, scan_json, scan_table
+from stratafold.workspace import cleans_up
 
 logger = logging.getLogger(__name__)
 
+STATE_FOLDER = "state_folder"
+
 
 def with_ingest_columns(df: DataFrame, run_date: str, as_of: dt.datetime | None) -> DataFrame:
     return df.withColumns(
@@ -32,6 +35,7 @@ def with_ingest_columns(df: DataFrame, run_date: str, as_of: dt.datetime | None)
     )
 
 
+@cleans_up
 def ingest_snapshot(
     spark: SparkSession, staging: str, bronze: str, run_date: str, as_of: dt.datetime | None = None
 ) -> int:
@@ -59,6 +63,7 @@ def silver_table(spark: SparkSession, root: str) -> VersionedTable:
     return VersionedTable(spark, root, c.ENTITY_SILVER)
 
 
+@cleans_up
 def transform_snapshot(
     spark: SparkSession,
     bronze: str,
@@ -103,5 +108,7 @@ def transform_snapshot(
         touch=touch,
         source_is_unique=True,
     )
-    table.publish(merged, as_of, by=["state"], audit=lambda staged: run_suite(staged, bundled_suite("entity_silver")))
+    # Folders cannot hold an empty state, so they have a column of their own.
+    foldered = merged.withColumn(STATE_FOLDER, F.nullif(F.col("state"), F.lit("")))
+    table.publish(foldered, as_of, by=[STATE_FOLDER], audit=lambda staged: run_suite(staged, bundled_suite("entity_silver")))
     return True

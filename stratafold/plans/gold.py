@@ -17,7 +17,7 @@ from stratafold.operators.versions import VersionedTable
 from stratafold.operators.writers import overwrite_partitions
 from stratafold.plans import contracts as c
 from stratafold.sources.files import scan_table
-from stratafold.workspace import materialise
+from stratafold.workspace import cleans_up, materialise
 
 
 def dim_locations(silver: DataFrame) -> DataFrame:
@@ -61,6 +61,14 @@ def mart(fact_table: DataFrame, locations: DataFrame, rank_within: Sequence[str]
     )
 
 
+def gold_rules(name: str, key: Sequence[str], not_null: Sequence[str] = (), references: Sequence[str] = ()) -> list[Rule]:
+    """What a gold table must hold: a unique key without NULLs, further columns without, known parents."""
+    rules = [Rule(f"{name}_{'_'.join(key)}_unique", "unique_count", tuple(key))]
+    rules += [Rule(f"{name}_{n}_not_null", "missing_count", (n,)) for n in (*key, *not_null)]
+    return rules + [Rule(column, "relationships", (column,)) for column in references]
+
+
+@cleans_up
 def build_gold(spark: SparkSession, silver: DataFrame, root: str, as_of: dt.datetime) -> dict[str, DataFrame]:
     """Build every gold table in order; a failed check stops those that follow."""
     seed = c.bundled_table(spark, "entity_types")
@@ -75,30 +83,37 @@ def build_gold(spark: SparkSession, silver: DataFrame, root: str, as_of: dt.date
         ]),
     )
 
-    def publish(name: str, df: DataFrame, key: str, references: dict[str, Reference] | None = None) -> DataFrame:
-        rules = [Rule(f"{name}_{key}_unique", "unique_count", (key,)),
-                 Rule(f"{name}_{key}_not_null", "missing_count", (key,))]
-        rules += [Rule(column, "relationships", (column,)) for column in references or {}]
+    def publish(
+        name: str,
+        df: DataFrame,
+        key: Sequence[str],
+        not_null: Sequence[str] = (),
+        references: dict[str, Reference] | None = None,
+    ) -> DataFrame:
+        rules = gold_rules(name, key, not_null, list(references or {}))
         table = VersionedTable(spark, f"{root}/{name}")
         return table.publish(df, as_of, audit=lambda staged: run_suite(staged, (name, rules), references))
 
-    locations = publish("dim_locations", dim_locations(silver), "location_key")
-    types = publish("dim_types", dim_types(silver, seed), "brewery_type_key")
+    locations = publish("dim_locations", dim_locations(silver), ["location_key"], ["city", "state", "country"])
+    # A type has a description if, and only if, the seed knows it.
+    types = publish("dim_types", dim_types(silver, seed), ["brewery_type_key"], ["brewery_type", "brewery_type_description"])
     previous = VersionedTable(spark, f"{root}/fact").read()
     facts = publish(
         "fact",
         merge_newer(previous, fact(silver), keys=["brewery_key"], changed_at="updated_at"),
-        "brewery_key",
+        ["brewery_key"],
+        ["location_key", "brewery_type_key"],
         {
             "location_key": Reference(locations, "location_key"),
             "brewery_type_key": Reference(types, "brewery_type_key"),
         },
     )
-    coverage = mart(facts, locations)
-    published = VersionedTable(spark, f"{root}/mart").publish(coverage, as_of)
+    counted = [n for n in c.COVERAGE_NAMES.values() if n != c.COVERAGE_NAMES["ratio"]]
+    published = publish("mart", mart(facts, locations), c.LOCATION_COLUMNS, counted)
     return {"dim_locations": locations, "dim_types": types, "fact": facts, "mart": published}
 
 
+@cleans_up
 def snapshot_history(spark: SparkSession, silver: DataFrame, root: str, as_of: dt.datetime) -> DataFrame:
     """Bring the type-2 history up to the current state and return it.
 
@@ -115,19 +130,33 @@ def snapshot_history(spark: SparkSession, silver: DataFrame, root: str, as_of: d
     changed = materialise(apply_changes(current, silver, ["id"], "updated_at", ["ingestion_date"]), "history")
     batch = F.lit(opened.number() + 1).cast("bigint").alias("closed_batch")
     overwrite_partitions(closed_versions(changed).select("*", batch), f"{root}/closed", ["closed_batch"])
-    opened.publish(open_versions(changed), as_of)
+    # Older closed versions end where these begin, so these are all that can repeat a key and time.
+    rules = ("history", HISTORY_RULES)
+    opened.publish(open_versions(changed), as_of, audit=lambda staged: run_suite(changed, rules))
     return read_history(spark, root)
 
 
+# What a history must hold.
+HISTORY_RULES = [
+    Rule("history_version_unique", "unique_count", ("id", VALID_FROM)),
+    Rule("history_id_not_null", "missing_count", ("id",)),
+    Rule("history_valid_from_not_null", "missing_count", (VALID_FROM,)),
+]
+
+
+def _with_closed(spark: SparkSession, current: DataFrame, root: str, number: int) -> DataFrame:
+    """Open versions and the closed ones that belong to their number or one before."""
+    stored = StructType([*current.schema.fields, StructField("closed_batch", LongType())])
+    closed = scan_table(spark, f"{root}/closed", stored)
+    if closed is None:
+        return current
+    return closed.filter(F.col("closed_batch") <= number).select(*current.columns).unionByName(current)
+
+
 def read_history(spark: SparkSession, root: str) -> DataFrame | None:
     """Closed and open versions as of the last published run."""
     opened = VersionedTable(spark, f"{root}/open")
     current = opened.read()
     if current is None:
         return None
-    stored = StructType([*current.schema.fields, StructField("closed_batch", LongType())])
-    closed = scan_table(spark, f"{root}/closed", stored)
-    if closed is None:
-        return current
-    past = closed.filter(F.col("closed_batch") <= opened.number())
-    return past.select(*current.columns).unionByName(current)
+    return _with_closed(spark, current, root, opened.number())

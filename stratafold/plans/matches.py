@@ -12,11 +12,12 @@ from stratafold.functions.measures import outcome, total
 from stratafold.functions.temporal import compose_timestamp, logical_timestamp, month_of, parse_date, stamp
 from stratafold.functions.text import strip_accents
 from stratafold.operators.dedup import latest_per_key
-from stratafold.operators.incremental import high_watermark, increment
+from stratafold.operators.incremental import high_watermark, increment, listed_watermark
 from stratafold.operators.lookup import (
     FROM_HOME_TEAM,
     FROM_VENUE,
     LookupStep,
+    coverage,
     lookup_cascade,
     prepare_lookup,
 )
@@ -34,13 +35,17 @@ from stratafold.operators.writers import land_json_by_date, overwrite_partitions
 from stratafold.plans import contracts as c
 from stratafold.sources.files import scan_dated_json, scan_table
 from stratafold.sources.payload import finished, flatten_payload, landing_slice
-from stratafold.workspace import materialise
+from stratafold.workspace import cleans_up, materialise
 
 logger = logging.getLogger(__name__)
 
 MONTH = "match_month"
 
+# The number before the first ingest, and that of records that belong to none.
+NO_BATCH = 0
 
+
+@cleans_up
 def land_matches(spark: SparkSession, raw: DataFrame, staging: str, run_date: str) -> None:
     """Flatten raw match documents and land the finished ones, a folder per date.
 
@@ -51,6 +56,7 @@ def land_matches(spark: SparkSession, raw: DataFrame, staging: str, run_date: st
     land_json_by_date(landing_slice(flat, run_date, first_run=first_run), staging)
 
 
+@cleans_up
 def ingest_matches(
     spark: SparkSession,
     staging: str,
@@ -77,17 +83,24 @@ def ingest_matches(
         rows = undated.withColumn("ingested_at", stamp(as_of))
         today = as_of.date().isoformat()
         # Such a file is met again on every run: one record a day is enough.
-        write_quarantine(quarantine_rows(rows, c.MATCH_QUARANTINED, today, as_of), quarantine, replace=True)
+        write_quarantine(quarantine_rows(rows, c.MATCH_QUARANTINED, today, as_of), quarantine, replace=True, batch=NO_BATCH)
 
-    newest = high_watermark(scan_table(spark, bronze, c.MATCH_BRONZE), "ingestion_date")
+    newest = listed_watermark(spark, bronze, "ingestion_date")
+    last_batch = high_watermark(scan_table(spark, bronze, c.MATCH_BRONZE), "ingest_batch")
     fresh = increment(dated, "ingestion_date", newest, full_refresh=full_refresh)
     fresh = fresh.withColumns(
-        {"ingested_at": stamp(as_of), "ingestion_ts": logical_timestamp("ingestion_date")}
+        {
+            "ingested_at": stamp(as_of),
+            "ingestion_ts": logical_timestamp("ingestion_date"),
+            "ingest_batch": F.lit((last_batch or NO_BATCH) + 1).cast("bigint"),
+        }
     )
     staged = materialise(fresh, "match-bronze")
     if staged.isEmpty():
         return False
     run_suite(staged, bundled_suite("match_bronze"))
+    per_date = {r.ingestion_date: r.rows for r in rows_per_date(staged).collect()}
+    logger.info("rows per date: %s", per_date)
     overwrite_partitions(staged.select(*c.MATCH_BRONZE.names), bronze, ["ingestion_date"])
     return True
 
@@ -125,6 +138,7 @@ def add_stadium_state(df: DataFrame) -> DataFrame:
     )
 
 
+@cleans_up
 def transform_matches(
     spark: SparkSession,
     bronze: str,
@@ -138,28 +152,36 @@ def transform_matches(
 ) -> bool:
     """Merge bronze rows not yet merged into the current state; False if none.
 
-    The watermark is the newest ingest time already merged, kept in a small
-    table of its own, so rows landed while a merge runs are not passed over.
+    Every ingest has a number.  The last number merged is kept in a small table of its
+    own, so a run without news writes nothing, a batch landed while a merge runs is not
+    passed over, and one whose rows are all bad is taken once.  A repeated batch replaces its quarantine records.
     Only months a change falls in are rewritten, after their new rows are checked.
     """
     as_of = as_of or dt.datetime.now()
     landed = scan_table(spark, bronze, c.MATCH_BRONZE)
     if landed is None:
         return False
-    seen = high_watermark(scan_table(spark, watermarks), "merged_up_to")
-    fresh = materialise(increment(landed, "ingested_at", seen, full_refresh=full_refresh), "match-fresh")
-    newest = high_watermark(fresh, "ingested_at")
+    seen = high_watermark(scan_table(spark, watermarks), "merged_batch")
+    fresh = materialise(
+        increment(landed, "ingest_batch", seen, inclusive=False, full_refresh=full_refresh), "match-fresh"
+    )
+    newest = high_watermark(fresh, "ingest_batch")
     if newest is None:
         return False
 
+    def keep_mark() -> None:
+        mark = spark.createDataFrame([(newest, as_of)], "merged_batch BIGINT, merged_at TIMESTAMP")
+        mark.coalesce(1).write.mode("append").parquet(watermarks)
+
     rules = [(NULL_MATCH_ID, F.col("ge_match_id").isNull())]
     good, bad = split_invalid(fresh, rules)
     rows, invalid = count_invalid(fresh, rules)
     if invalid:
         logger.warning("%d of %d rows go to quarantine", invalid, rows)
         today = as_of.date().isoformat()
-        write_quarantine(quarantine_rows(bad, c.MATCH_QUARANTINED, today, as_of), quarantine)
+        write_quarantine(quarantine_rows(bad, c.MATCH_QUARANTINED, today, as_of), quarantine, replace=True, batch=newest)
     if rows == invalid:
+        keep_mark()
         return False
 
     ties = ["ingestion_date", "date", "kickoff_time", "score_home", "score_away", "stadium"]
@@ -189,8 +211,8 @@ def transform_matches(
         source_is_unique=True,
         audit=lambda staged: run_suite(staged, bundled_suite("match_silver")),
     )
-    mark = spark.createDataFrame([(newest, as_of)], "merged_up_to TIMESTAMP, merged_at TIMESTAMP")
-    mark.coalesce(1).write.mode("append").parquet(watermarks)
+    logger.info("origins of states: %s", {r.stadium_state_origin: r.rows for r in coverage(source, "stadium_state_origin").collect()})
+    keep_mark()
     return True
 
 

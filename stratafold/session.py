@@ -20,7 +20,6 @@ RECOMMENDED = {
 
 # Bytes a shuffle partition should hold: it is sorted and joined in memory.
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def shuffle_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
@@ -30,7 +29,7 @@ def shuffle_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
     merges what turns out small.
     """
     by_size = -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES)
-    count = min(max(by_size, 3 * cores), MAX_SHUFFLE_PARTITIONS)
+    count = max(by_size, 3 * cores)
     return {
         "spark.sql.shuffle.partitions": str(count),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,14 +71,33 @@ def or_none(read) -> DataFrame | None:
         raise
 
 
-def scan_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """A parquet table, or None where it was never written."""
+class Entry(NamedTuple):
+    """A file or folder: its name, whether it is a folder, and its modification time in milliseconds."""
+
+    name: str
+    is_folder: bool
+    modified_ms: int
+
+
+def folder_entries(spark: SparkSession, path: str) -> Iterator[Entry]:
+    """What lies directly in a folder, hidden names too; nothing where it does not exist."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(folder):
+        for status in system.listStatus(folder):
+            yield Entry(status.getPath().getName(), status.isDirectory(), status.getModificationTime())
 
-    def read() -> DataFrame:
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(path)
 
-    return or_none(read)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def scan_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """A parquet table, or None where it was never written."""
+    if not path_exists(spark, path):
+        return None
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
 
 
 def partition(df: DataFrame, column: str, value) -> DataFrame:
@@ -83,6 +105,10 @@ def partition(df: DataFrame, column: str, value) -> DataFrame:
     return df.filter(F.col(column) == F.lit(value))
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A small dimension kept as CSV with a header line and ``#`` comments."""
-    return spark.read.schema(schema).option("header", True).option("comment", "#").csv(path)
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, *, multi_line: bool = False) -> DataFrame:
+    """A dimension kept as CSV with a header line; quotes inside quoted values are doubled.
+
+    ``multi_line`` allows line breaks inside quoted values; such files are not split.
+    """
+    reader = spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
+    return reader.option("multiLine", multi_line).csv(path)

@@ -17,10 +17,11 @@ from stratafold.operators.dedup import latest_per_key
 from stratafold.operators.merge import merge_touched_partitions
 from stratafold.operators.versions import Audit, VersionedTable
 from stratafold.sources.files import scan_table
-from stratafold.workspace import materialise
+from stratafold.workspace import cleans_up, materialise
 
 Step = Callable[[DataFrame | None, DataFrame], DataFrame]
-Take = Callable[[DataFrame], None]
+# What is done with a batch, and its number in the stream.
+Take = Callable[[DataFrame, int], None]
 
 
 def keep_latest(keys: Sequence[str], latest_by: str, ties: Sequence[str]) -> Step:
@@ -40,11 +41,14 @@ def into_versions(table: VersionedTable, step: Step, as_of: dt.datetime | None =
     """Publish ``step(current, batch)`` as the next version, once ``audit`` passes it.
 
     Every batch rewrites the table: meant for tables that are small next to a
-    batch.  A batch repeated after a failure is applied to the last published version.
+    batch.  Its number is logged with the version, so a batch that comes again after it was
+    published is passed over.  One stream feeds a table: another's numbers would be taken for its own.
     """
 
-    def take(batch: DataFrame) -> None:
-        table.publish(step(table.read(), batch), as_of or dt.datetime.now(), audit=audit)
+    def take(batch: DataFrame, number: int) -> None:
+        done = table.last_batch()
+        if done is None or number > done:
+            table.publish(step(table.read(), batch), as_of or dt.datetime.now(), audit=audit, batch=number)
 
     return take
 
@@ -58,7 +62,8 @@ def into_partitions(
     Repeating a batch writes the same rows again.
     """
 
-    def take(batch: DataFrame) -> None:
+    @cleans_up
+    def take(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         source = materialise(prepare(batch), "batch")
         if source.isEmpty():
@@ -89,7 +94,7 @@ def stream_files(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     run = (
         reader.json(folder)
-        .writeStream.foreachBatch(lambda batch, number: take(batch))
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -106,6 +106,11 @@ def test_missing_state_gets_the_sentinel(flow):
     assert flow.state().first().state == "__UNKNOWN__"
 
 
+def test_an_empty_state_is_kept(flow):
+    assert flow.day(D1, [{**ROWS[0], "state": ""}])
+    assert flow.state().first().state == ""
+
+
 def test_shrunken_snapshot_is_refused(flow):
     flow.day(D1, [{**ROWS[0], "id": f"bulk-{i:03d}"} for i in range(100)])
     flow.ingest(D2, ROWS[:1])

@@ -2,13 +2,17 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 
+from stratafold.operators.incremental import listed_watermark
+from stratafold.operators.quality import QualityError
 from stratafold.plans import contracts as c
 from stratafold.plans.matches import ingest_matches, land_matches, read_matches, rows_per_date, transform_matches
 from stratafold.sources.files import scan_table
 from stratafold.sources.payload import PAYLOAD_DDL
+from stratafold.workspace import shared_root
 
 
 def match(number, day, **changes):
@@ -75,7 +79,7 @@ def test_first_load_and_correction(feed, spark):
     assert rows["m-3"].updated_at == feed.at(3) and rows["m-1"].updated_at == feed.at(1)
     bronze = scan_table(spark, feed.bronze, c.MATCH_BRONZE)
     assert {r.ingestion_date: r.rows for r in rows_per_date(bronze).collect()} == {"2026-05-20": 2, "2026-05-21": 1}
-    assert feed.transform(4) in (True, False) and len(feed.state()) == 3
+    assert feed.transform(4) is False and len(feed.state()) == 3
 
 
 def test_older_dates_need_a_full_refresh(feed):
@@ -107,10 +111,42 @@ def test_null_ids_and_undated_files_are_quarantined(feed, spark):
     assert sorted(reasons) == ["BAD_PATH_DATE", "NULL_GE_MATCH_ID"]
 
 
-def test_all_rows_quarantined(feed):
+def test_all_rows_quarantined(feed, spark):
     feed.land("2026-05-20", match(2, "2026-05-20", ge_match_id=None))
     assert feed.ingest(0) and feed.transform(1) is False
     assert read_matches(feed.spark, feed.silver) is None
+    assert feed.transform(2) is False and spark.read.parquet(feed.bad).count() == 1
+
+
+def test_an_idle_run_writes_nothing(feed, spark):
+    feed.land("2026-05-20", match(1, "2026-05-20"), match(2, "2026-05-20", ge_match_id=None))
+    assert feed.ingest(0) and feed.transform(1)
+    before = {p: p.stat().st_mtime_ns for n in ("silver", "bad", "marks") for p in (feed.root / n).rglob("*")}
+    for hour in (2, 3):
+        assert feed.transform(hour) is False
+    assert before == {p: p.stat().st_mtime_ns for n in ("silver", "bad", "marks") for p in (feed.root / n).rglob("*")}
+
+
+def test_intermediate_tables_go_with_the_run(feed, spark):
+    shared = Path(shared_root(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    feed.land("2026-05-20", match(1, "2026-05-20"))
+    assert feed.ingest(0) and feed.transform(1)
+    feed.land("2026-05-21", match(2, "no date"))
+    assert feed.ingest(2)
+    with pytest.raises(QualityError):
+        feed.transform(3)
+    assert set(shared.iterdir()) == before
+
+
+def test_the_watermark_comes_from_folder_names(feed, spark):
+    for day in ("2026-05-20", "2026-05-21"):
+        feed.land(day, match(1, day))
+    feed.ingest(0)
+    for part in (feed.root / "bronze").rglob("*.parquet"):
+        part.write_bytes(b"not parquet")
+    assert listed_watermark(spark, feed.bronze, "ingestion_date") == "2026-05-21"
+    assert listed_watermark(spark, feed.bronze + "-none", "ingestion_date") is None
 
 
 def test_landing_first_run_then_increment(feed, spark, tmp_path):

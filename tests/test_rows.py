@@ -145,17 +145,16 @@ def test_conflicting_lookup_fails(spark):
         prepare_lookup(table).collect()
 
 
-def test_lookup_is_the_same_with_and_without_broadcast(spark, monkeypatch):
+def test_lookup_is_the_same_with_and_without_broadcast(spark):
     table = prepare_lookup(spark.createDataFrame([("a", "1"), ("b", "2")], "key string, value string"))
     df = spark.createDataFrame([("a",)] * 50 + [("b",), ("z",), (None,)], "k string")
     step = [LookupStep(table, "k", "HIT")]
     names = {"value_column": "v", "origin_column": "o"}
     hinted = lookup_cascade(df, step, **names)
     assert "BroadcastHashJoin" in plan_of(hinted)
-    monkeypatch.setattr("stratafold.operators.lookup.broadcast_if_small", lambda t: broadcast_if_small(t, max_rows=1))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        shuffled = lookup_cascade(df, step, **names)
+        shuffled = lookup_cascade(df, [LookupStep(table, "k", "HIT", max_rows=1)], **names)
         assert "BroadcastHashJoin" not in plan_of(shuffled)
         assert sorted(map(str, shuffled.collect())) == sorted(map(str, hinted.collect()))
     finally:

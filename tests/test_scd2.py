@@ -4,7 +4,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from stratafold.operators import scd2
 from stratafold.operators.quality import Rule, evaluate
 from stratafold.operators.scd2 import apply_changes, as_of, closed_versions, open_versions, version_intervals
 from tests.test_rows import skewed
@@ -35,19 +34,27 @@ def as_dict(df):
     return found
 
 
-@pytest.mark.parametrize("width", [None, 60, 3600, 86_400, 10**9])
-def test_intervals_equal_brute_force_at_any_slice_width(spark, width):
+@pytest.mark.parametrize("ranges", [None, 1, 3, 50])
+def test_intervals_equal_brute_force_however_cut(spark, ranges):
     data, df = skewed(spark)
-    got = version_intervals(df, ["k"], "ts", ["id"], slice_seconds=width)
-    assert as_dict(got) == brute_force(data)
+    assert as_dict(version_intervals(df, ["k"], "ts", ["id"], ranges=ranges)) == brute_force(data)
 
 
-def test_large_tables_are_sliced_by_themselves(spark, monkeypatch):
-    data, df = skewed(spark)
-    monkeypatch.setattr(scd2, "ROWS_PER_SLICE", 100)
-    got = version_intervals(df, ["k"], "ts", ["id"])
-    assert "_slice" in got._jdf.queryExecution().optimizedPlan().toString()
-    assert as_dict(got) == brute_force(data)
+@pytest.mark.parametrize("ranges", [None, 6])
+def test_a_burst_of_one_key_is_spread(spark, ranges):
+    burst = [(i, 1, START + dt.timedelta(seconds=i // 7), 0) for i in range(420)]
+    data = burst + [(1000 + i, 1 + i % 3, START + dt.timedelta(days=i), 0) for i in range(30)]
+    df = spark.createDataFrame(data, "id long, k long, ts timestamp_ntz, v long")
+    assert as_dict(version_intervals(df, ["k"], "ts", ["id"], ranges=ranges)) == brute_force(data)
+    cut = df.repartitionByRange(6, "k", "ts", "id").groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in cut.collect()) < 150
+
+
+@pytest.mark.parametrize("row", [(1, None, START), (1, 1, None)])
+def test_null_key_or_time_is_refused(spark, row):
+    df = spark.createDataFrame([row, (2, 2, START)], "id long, k long, ts timestamp_ntz")
+    with pytest.raises(Exception, match="NULL among k, ts"):
+        version_intervals(df, ["k"], "ts", ["id"]).collect()
 
 
 @pytest.mark.parametrize("kind", ["timestamp", "date"])
@@ -55,7 +62,7 @@ def test_other_time_types(spark, kind):
     rows = [(i, i % 3, START + dt.timedelta(days=i)) for i in range(30)]
     df = spark.createDataFrame(rows, "id long, k long, ts timestamp_ntz").withColumn("ts", F.col("ts").cast(kind))
     plain = version_intervals(df, ["k"], "ts", ["id"])
-    sliced = version_intervals(df, ["k"], "ts", ["id"], slice_seconds=100_000)
+    sliced = version_intervals(df, ["k"], "ts", ["id"], ranges=4)
     assert as_dict(plain) == as_dict(sliced)
     assert sum(r.valid_to is None for r in sliced.collect()) == 3
 

@@ -73,10 +73,10 @@ def test_partition_scan_prunes(spark, base):
     assert "PartitionFilters: [isnotnull(d" in plan_of(day)
 
 
-def test_csv_dimension_with_comments(spark, tmp_path):
-    put(tmp_path / "seed", "types.csv", '# a comment\ncode,text\nmicro,"small, local"\n')
-    rows = scan_csv(spark, str(tmp_path / "seed"), "code STRING, text STRING").collect()
-    assert [tuple(r) for r in rows] == [("micro", "small, local")]
+def test_csv_dimension_keeps_every_row(spark, tmp_path):
+    put(tmp_path / "seed", "types.csv", 'code,text\nmicro,"small, local"\n#1,"say ""no"""\nlong,"two\nlines"\n')
+    rows = scan_csv(spark, str(tmp_path / "seed"), "code STRING, text STRING", multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [("micro", "small, local"), ("#1", 'say "no"'), ("long", "two\nlines")]
 
 
 def test_bundled_tables(spark):

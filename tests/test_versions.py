@@ -81,9 +81,14 @@ def test_maintain(spark, base, tmp_path):
 
     later = dt.datetime.now() + dt.timedelta(days=40)
     done = maintain(table, later, keep=2)
-    assert done == {"expired": 3, "removed": 4}
+    assert done == {"packed": 1, "expired": 3, "removed": 4}
     assert table.read().count() == 103 and table.log().count() == 2
     assert len(list(Path(tmp_path, "t", "versions").iterdir())) == 2
+    # What is packed stays as it is; a write that never ended goes after the grace time.
+    Path(tmp_path, "t", "versions", "crashed", "_temporary", "0").mkdir(parents=True)
+    soon = dt.datetime.now() + dt.timedelta(days=1)
+    assert maintain(table, soon, keep=2) == {"packed": 0, "expired": 0, "removed": 0}
+    assert maintain(table, later, keep=2) == {"packed": 0, "expired": 0, "removed": 1}
     on_disk = list(Path(tmp_path, "t", "versions").glob("*/*.parquet"))
     assert list_files(spark, f"{base}/t/versions").count() == len(on_disk)
 

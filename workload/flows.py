@@ -149,32 +149,52 @@ def history_flow_query(spark, sf_dir):
 SILVER_MATCH_SQL = """
 SELECT ge_match_id, matchweek, date AS match_date,
        CASE WHEN kickoff_time = '' THEN NULL ELSE CAST(date || ' ' || kickoff_time || ':00' AS TIMESTAMP) END AS kickoff_ts,
-       home_team, home_team_code, away_team, away_team_code, score_home, score_away, score_home + score_away AS total_goals,
+       strip_accents(home_team) AS home_team, home_team_code, away_team, away_team_code, score_home, score_away, score_home + score_away AS total_goals,
        CASE WHEN score_home > score_away THEN 'HOME_WIN' WHEN score_home < score_away THEN 'AWAY_WIN' ELSE 'DRAW' END AS match_outcome,
-       stadium, 'UNKNOWN' AS stadium_state, 'UNKNOWN' AS stadium_state_origin, date AS ingestion_date
-FROM flat WHERE score_home IS NOT NULL AND match_started"""
+       strip_accents(stadium) AS stadium, coalesce(venue.state, team.state, 'UNKNOWN') AS stadium_state,
+       CASE WHEN venue.state IS NOT NULL THEN 'STADIUM_LOOKUP' WHEN team.state IS NOT NULL THEN 'HOME_TEAM_FALLBACK'
+            ELSE 'UNKNOWN' END AS stadium_state_origin, date AS ingestion_date
+FROM flat LEFT JOIN (VALUES ('Maracana', 'RJ')) venue(name, state) ON strip_accents(stadium) = venue.name
+          LEFT JOIN (VALUES ('Sao Paulo', 'SP'), ('Flamengo', 'RJ')) team(name, state) ON strip_accents(home_team) = team.name
+WHERE score_home IS NOT NULL AND match_started"""
 
 
-@query(
-    "match_flow",
-    f"WITH {MATCH_SQL} SELECT *, TRUE AS is_active FROM ({SILVER_MATCH_SQL}) WHERE match_date <= '2024-01-30'",
-)
-def match_flow_query(spark, sf_dir):
-    """Backfill up to a date, then the next date as an increment."""
+MATCH_FLOW_SQL = f"WITH {MATCH_SQL} SELECT *, TRUE AS is_active FROM ({SILVER_MATCH_SQL})"
+
+
+def run_match_days(spark, sf_dir):
+    """Everything up to the last date but one, then the last; the state, and the arguments to merge again."""
     base = fresh_path(spark, "matches")
     staging, bronze, silver, bad, marks = (f"{base}/{n}" for n in ("staging", "bronze", "silver", "bad", "marks"))
     raw_matches(spark, sf_dir).select("doc").write.text(f"{base}/raw")
     raw = spark.read.schema(PAYLOAD_DDL).json(f"{base}/raw")
-    for day in ("2024-01-29", "2024-01-30"):
+    dates = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day")).distinct()
+    last_two = sorted(r.day for r in dates.orderBy(F.desc("day")).limit(2).collect())
+    for day in last_two:
         land_matches(spark, raw, staging, day)
         ingest_matches(spark, staging, bronze, bad, dt.datetime.fromisoformat(f"{day} 23:00:00"), documents=False)
         transform_matches(spark, bronze, silver, bad, marks, dt.datetime.fromisoformat(f"{day} 23:30:00"))
-    return (
+    state = (
         read_matches(spark, silver)
         .drop("updated_at")
         .withColumn("kickoff_ts", F.col("kickoff_ts").cast("timestamp_ntz"))
         .withColumn("match_date", F.col("match_date").cast("string"))
     )
+    return state, (bronze, silver, bad, marks)
+
+
+@query("match_flow", MATCH_FLOW_SQL)
+def match_flow_query(spark, sf_dir):
+    """Backfill up to a date, then the next date as an increment."""
+    return run_match_days(spark, sf_dir)[0]
+
+
+@query("match_flow_rerun", f"SELECT *, FALSE AS merged_again FROM ({MATCH_FLOW_SQL})")
+def match_flow_rerun_query(spark, sf_dir):
+    """The same, merged twice more without news: nothing happens."""
+    state, paths = run_match_days(spark, sf_dir)
+    again = [transform_matches(spark, *paths, dt.datetime(2024, 3, day)) for day in (1, 2)]
+    return state.withColumn("merged_again", F.lit(any(again)))
 
 
 @query("match_enrich", f"WITH {MATCH_SQL} {SILVER_MATCH_SQL.replace(', date AS ingestion_date', '')}")
@@ -234,7 +254,8 @@ def stream_upsert_query(spark, sf_dir):
         lambda batch: latest_per_key(batch, ["event_id"], "ts", ["user_id"]).withColumn("day", F.to_date("ts")),
         partition="day",
         keys=["event_id"],
-        update=["ts", "user_id", "event_type", "value", "props"],
+        # The partition follows from ts, so an event that is sent again keeps its first time.
+        update=["user_id", "event_type", "value", "props"],
         as_of=dt.datetime(2024, 2, 1),
         source_is_unique=True,
     )

@@ -173,7 +173,7 @@ def percent_sql(name, severity, column, most, source="ent"):
 def unique_sql(name, severity, column, source="ent"):
     return result_sql(
         name, "unique_count", severity, "d = 0", "d", "0",
-        f"'unique_count({column}): ' || d || ' duplicate(s) of ' || n || ' non-null rows'",
+        f"'unique_count({column})=' || d || ', repeats among ' || n || ' rows with a value'",
         f"SELECT count({column}) - count(DISTINCT {column}) AS d, count({column}) AS n FROM {source}",
     )
 

@@ -83,7 +83,7 @@ src AS (
 MATCH_SQL = """
 flat AS (
   SELECT CAST(user_id AS INTEGER) AS matchweek,
-         CASE WHEN event_type = 'click' THEN 'Unknown' ELSE event_type END AS home_team,
+         CASE event_type WHEN 'click' THEN 'Unknown' WHEN 'purchase' THEN 'São Paulo' ELSE event_type END AS home_team,
          CASE WHEN event_type = 'click' THEN '' ELSE upper(event_type) END AS home_team_code,
          'visitor ' || CAST(user_id AS VARCHAR) AS away_team,
          '' AS away_team_code,
@@ -91,7 +91,7 @@ flat AS (
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS score_away,
          strftime(ts, '%Y-%m-%d') AS date,
          CASE WHEN value < 10 THEN '' ELSE strftime(ts, '%H:%M') END AS kickoff_time,
-         CASE WHEN value < 20 THEN 'Unknown' ELSE 'ground ' || event_type END AS stadium,
+         CASE WHEN value < 20 THEN 'Unknown' WHEN value >= 45 THEN 'Maracanã' ELSE 'ground ' || event_type END AS stadium,
          CASE WHEN value < 30 THEN '' ELSE 'channel ' || event_type END AS broadcast,
          CASE WHEN value < 40 THEN '' ELSE 'http://match/' || CAST(event_id AS VARCHAR) END AS match_url,
          CASE WHEN event_type = 'signup' THEN FALSE ELSE value > 5 END AS match_started,
@@ -118,7 +118,7 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.when(value >= 10, F.date_format("ts", "HH:mm")).alias("hora_realizacao"),
                 F.struct(
                     F.struct(
-                        unless(kind == "click", kind).alias("nome_popular"),
+                        F.when(kind == "purchase", "São Paulo").otherwise(unless(kind == "click", kind)).alias("nome_popular"),
                         unless(kind == "click", F.upper(kind)).alias("sigla"),
                     ).alias("mandante"),
                     F.struct(
@@ -128,7 +128,10 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ).alias("equipes"),
                 unless(kind == "view", F.floor(value).cast("int")).alias("placar_oficial_mandante"),
                 F.get_json_object("props", "$.k").cast("int").alias("placar_oficial_visitante"),
-                F.when(value >= 20, F.struct(F.concat(F.lit("ground "), kind).alias("nome_popular"))).alias("sede"),
+                F.when(
+                    value >= 20,
+                    F.struct(F.when(value >= 45, "Maracanã").otherwise(F.concat(F.lit("ground "), kind)).alias("nome_popular")),
+                ).alias("sede"),
                 unless(kind == "signup", value > 5).alias("jogo_ja_comecou"),
                 F.when(
                     value >= 30,

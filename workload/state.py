@@ -311,8 +311,18 @@ def scd2_history_query(spark, sf_dir):
 
 @query("scd2_history_sliced", HISTORY_SQL)
 def scd2_history_sliced_query(spark, sf_dir):
-    """The same history in the form large tables take: by key and slice of time."""
-    return version_intervals(user_events(spark, sf_dir), ["user_id"], "ts", ["event_id"], slice_seconds=6 * 3600)
+    """The same history, cut into a given number of ranges."""
+    return version_intervals(user_events(spark, sf_dir), ["user_id"], "ts", ["event_id"], ranges=13)
+
+
+TIED_SQL = HISTORY_SQL.replace("FROM events", "FROM (SELECT * REPLACE (date_trunc('day', ts) AS ts) FROM events)")
+
+
+@query("scd2_history_ties", TIED_SQL)
+def scd2_history_ties_query(spark, sf_dir):
+    """The history by day: many changes of a user at one time, of which the last counts."""
+    daily = user_events(spark, sf_dir).withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    return version_intervals(daily, ["user_id"], "ts", ["event_id"], ranges=7)
 
 
 @query("scd2_incremental", HISTORY_SQL)
@@ -338,7 +348,7 @@ def scd2_as_of_query(spark, sf_dir):
     "scd2_unique_check",
     f"""
 SELECT 'version_unique' AS name, 'unique_count' AS rule_type, 'fail' AS severity, d = 0 AS passed, CAST(d AS DOUBLE) AS actual,
-       '0' AS expected, 'unique_count(user_id, valid_from): ' || d || ' duplicate(s) of ' || n || ' non-null rows' AS message
+       '0' AS expected, 'unique_count(user_id, valid_from)=' || d || ', repeats among ' || n || ' rows with a value' AS message
 FROM (SELECT count(*) - count(DISTINCT (user_id, valid_from)) AS d, count(*) AS n FROM ({HISTORY_SQL}))""",
 )
 def scd2_unique_check_query(spark, sf_dir):
