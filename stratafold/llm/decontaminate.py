@@ -81,7 +81,8 @@ class Items:
             self._items.append((item_id, edits, len(item), _masks(item), _masks(item[::-1])))
             for offset, piece in pieces(item, edits):
                 ends_at = offset + len(piece)
-                self._automaton.get(piece, None) or self._automaton.add_word(piece, [])
+                if piece not in self._automaton:
+                    self._automaton.add_word(piece, [])
                 self._automaton.get(piece).append((number, ends_at))
         if self._items:
             self._automaton.make_automaton()

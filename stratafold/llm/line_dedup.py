@@ -84,10 +84,10 @@ def drop_spread_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
     )
     gone = broadcast_if_small(materialise(gone, "dedup-gone"))
     match = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_key"])
-    left = F.filter(_lines(docs["text"]), lambda line, i: ~F.array_contains(F.col("gone_at"), i))
-    text = F.when(F.col("gone_at").isNull(), docs["text"]).otherwise(F.array_join(left, "\n")).alias("text")
+    left = F.filter(_lines(docs["text"]), lambda line, i: ~F.array_contains(gone["gone_at"], i))
+    text = F.when(gone["gone_at"].isNull(), docs["text"]).otherwise(F.array_join(left, "\n")).alias("text")
     columns = [text if c == "text" else docs[c] for c in docs.columns]
-    return docs.join(gone, match, "left").select(*columns, F.coalesce(F.size("gone_at"), F.lit(0)).cast("long").alias(name))
+    return docs.join(gone, match, "left").select(*columns, F.coalesce(F.size(gone["gone_at"]), F.lit(0)).cast("long").alias(name))
 
 
 def line_dedup_digest(docs: DataFrame) -> DataFrame:

@@ -1,0 +1,80 @@
+"""The registered queries and the pipeline over the smallest tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from stratafold.llm import quality
+from stratafold.llm.decontaminate import benchmark_hits
+from stratafold.llm.line_dedup import SITES
+from stratafold.llm.queries import ORACLES, QUERIES
+from stratafold.llm.rows import read_table
+from stratafold.workspace import materialise
+from tests.conftest import plan_of
+from tests.llm.conftest import ROWS
+from tests.llm.test_dedup import plain_lines, plain_near
+from tests.oracle import compare, connect
+
+SF_DIR = "/root/testdata/sf0.001"
+NATIVE = ("op2_chat_formatting", "op5_exact_dedup", "op7_license_scan")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, name):
+    df = QUERIES[name](spark, SF_DIR)
+    assert compare(df, connect(SF_DIR), ORACLES[name]) is None
+    if name in NATIVE:
+        assert not [n for n in ("Python", "Pandas", "Arrow") if n in plan_of(df)]
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_query_covers_every_document(spark, name):
+    df = QUERIES[name](spark, SF_DIR)
+    ids = {r.doc_id for r in df.select("doc_id").collect()}
+    every = {r.doc_id for r in read_table(spark, SF_DIR, "documents").select("doc_id").collect()}
+    assert ids <= every if name.startswith("op9") else ids == every
+
+
+def test_near_dedup_of_the_table_equals_all_pairs(spark):
+    rows = [(r.doc_id, r.text) for r in read_table(spark, SF_DIR, "documents").collect()]
+    got = {r.doc_id: r.component_id for r in QUERIES["op8_minhash_near_dedup"](spark, SF_DIR).collect()}
+    assert got == plain_near(rows)
+
+
+def test_each_stage_equals_a_plain_version(spark):
+    docs = read_table(spark, SF_DIR, "documents")
+    labels, benchmark = read_table(spark, SF_DIR, "labels"), read_table(spark, SF_DIR, "benchmark")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        before = {r.doc_id: r for r in docs.collect()}
+        given, docs = docs, materialise(stage(spark, docs, SF_DIR), name)
+        after = {r.doc_id: r for r in docs.collect()}
+        if name == "quality_classifier":
+            scored = quality.score_quality(given, quality.fit(given, labels)).collect()
+            assert set(after) == {r.doc_id for r in scored if r.score >= 0.3}
+        elif name == "line_dedup":
+            want = {i: t for i, t, gone in plain_lines([(r.doc_id, r.text, r.source) for r in before.values()], SITES) if not gone or t.strip()}
+            assert {i: r.text for i, r in after.items()} == want
+            assert all(r.n_chars == len(r.text) for i, r in after.items() if r.text != before[i].text)
+        elif name == "minhash_near_dedup":
+            assert set(after) == set(plain_near([(i, r.text) for i, r in before.items()]).values())
+        elif name == "benchmark_decontamination":
+            assert set(before) - set(after) == {r.doc_id for r in benchmark_hits(given, benchmark).collect()}
+        else:
+            assert set(after) == set(before)
+        assert name == "best_fit_packing" or docs.columns == columns
+    whole = corpus_pipeline.run(spark, SF_DIR)
+    assert sorted(map(tuple, whole.select("doc_id", "piece", "length").collect())) == sorted(map(tuple, docs.select("doc_id", "piece", "length").collect()))
+
+
+@pytest.mark.parametrize("name", ["gone_id", "label"])
+def test_stages_take_odd_rows_and_empty_tables(spark, odd, name):
+    docs = odd(name).withColumn("n_chars", F.length("text")).withColumn("lang", F.lit(None).cast("string"))
+    empty = docs.limit(0)
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs, empty = stage(spark, docs, SF_DIR), stage(spark, empty, SF_DIR)
+        assert empty.count() == 0
+        if number < 4:
+            assert docs.columns == ["doc_id", "text", "source", name, "n_chars", "lang"]
+        docs = materialise(docs, "odd")
+    assert {r.doc_id for r in docs.collect()} <= {r[0] for r in ROWS}
