@@ -18,7 +18,7 @@ from stratafold.functions.temporal import stamp
 from stratafold.operators.incremental import high_watermark, increment
 from stratafold.operators.joins import broadcast_if_small
 from stratafold.operators.writers import in_partitions, overwrite_partitions
-from stratafold.workspace import materialise
+from stratafold.workspace import cleans_up, materialise
 
 # Fixed value: the largest share of active rows a new snapshot may lack.
 MAX_SHRINK = 0.20
@@ -145,6 +145,7 @@ def _fail_on_duplicates(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return numbered.filter(demand(F.col("_n") == 1, f"merge source has several rows of one key: {named}")).drop("_n")
 
 
+@cleans_up
 def merge_touched_partitions(
     target: DataFrame,
     source: DataFrame,
@@ -183,6 +184,65 @@ def merge_touched_partitions(
     overwrite_partitions(staged, path, [partition])
 
 
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    """The bucket of a key, for tables that ``merge_changed_buckets`` keeps."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _digest(columns: Sequence[str]) -> list[Column]:
+    """128 bits that stand for the values, NULLs included."""
+    if not columns:
+        return [F.lit(0).alias("_d0"), F.lit(0).alias("_d1")]
+    texts = [F.col(c).cast("string") for c in columns]
+    missing = F.concat(*[F.when(t.isNull(), "0").otherwise("1") for t in texts])
+    return [F.xxhash64(missing, *texts).alias("_d0"), F.xxhash64(F.lit(1), *texts, missing).alias("_d1")]
+
+
+@cleans_up
+def merge_changed_buckets(
+    target: DataFrame,
+    source: DataFrame,
+    path: str,
+    *,
+    bucket: str,
+    audit: Callable[[DataFrame], object] | None = None,
+    **merge_options,
+) -> int:
+    """Merge into a table partitioned by ``key_bucket``, rewriting only buckets with a change.
+
+    Target and source both have the ``bucket`` column; soft deletes are allowed.  Which
+    buckets hold a changed, new or gone key follows from a join of keys, activity and digests;
+    the other columns are read, shuffled and written for these buckets alone.  ``audit`` sees
+    their new rows and raises to leave the table as it is.  Returns how many buckets were rewritten.
+    """
+    keys, update = list(merge_options["keys"]), [c for c in merge_options["update"] if c in target.columns]
+    active = merge_options.get("active", "is_active")
+    deactivates = merge_options.get("on_missing", "keep") == "deactivate"
+    always = merge_options.get("touch", "changed") == "always"
+    if not merge_options.get("source_is_unique"):
+        source = _fail_on_duplicates(source, keys)
+        merge_options = {**merge_options, "source_is_unique": True}
+
+    was_active = F.coalesce(F.col(active), F.lit(False)) if active else F.lit(True)
+    left = target.select(*keys, F.col(bucket).alias("_tb"), was_active.alias("_active"), *_digest(update))
+    right = source.select(*keys, F.col(bucket).alias("_sb"), *[d.alias(f"_s{i}") for i, d in enumerate(_digest(update))])
+    both = left.join(right, keys, "full_outer")
+    in_target, in_source = F.col("_tb").isNotNull(), F.col("_sb").isNotNull()
+    differs = (F.col("_d0") != F.col("_s0")) | (F.col("_d1") != F.col("_s1")) | ~F.col("_active") | F.lit(always)
+    gone = in_target & ~in_source & (F.col("_active") | F.lit(always)) & F.lit(deactivates)
+    concerned = both.filter(~in_target | gone | (in_target & in_source & differs))
+    touched = materialise(concerned.select(F.coalesce("_tb", "_sb").alias(bucket)).distinct(), "touched")
+
+    affected, count = in_partitions(target, touched, bucket)
+    if count:
+        rows, _ = in_partitions(source, touched, bucket)
+        staged = materialise(merge_table(affected, rows, **merge_options), "merged")
+        if audit is not None:
+            audit(staged)
+        overwrite_partitions(staged, path, [bucket])
+    return count
+
+
 def merge_newer(
     target: DataFrame | None, source: DataFrame, *, keys: Sequence[str], changed_at: str, inclusive: bool = False
 ) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from stratafold.operators.merge import (
     SourceShrinkError,
     assert_not_shrinking,
+    key_bucket,
+    merge_changed_buckets,
     merge_newer,
     merge_table,
     merge_touched_partitions,
@@ -71,6 +73,34 @@ def test_touch_always_stamps_every_matched_and_missing_row(spark):
     assert stamps(merged(spark, touch="always")) == {"same", "changed", "back", "new"}
 
 
+def test_only_buckets_with_a_change_are_rewritten(spark, base, tmp_path):
+    ids = [f"k{i}" for i in range(200)]
+    rows = [(i, "v", None, True, OLD) for i in ids]
+    schema = "id string, name string, city string, is_active boolean, updated_at timestamp_ntz"
+    bucketed = spark.createDataFrame(rows, schema).withColumn("bucket", key_bucket(["id"], 8))
+    replace_table(bucketed, f"{base}/t", ["bucket"])
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+
+    def merge(changes):
+        given = [(i, changes.get(i, "v"), None) for i in [*ids, "new"] if changes.get(i, "v") and (i != "new" or i in changes)]
+        source = spark.createDataFrame(given, "id string, name string, city string").withColumn("bucket", key_bucket(["id"], 8))
+        stored = spark.read.schema(bucketed.schema).parquet(f"{base}/t")
+        options = {"keys": ["id"], "update": ["name", "city"], "on_missing": "deactivate", "as_of": NOW}
+        expected = sorted(map(str, merge_table(stored, source, **options).select(bucketed.columns).collect()))
+        done = merge_changed_buckets(stored, source, f"{base}/t", bucket="bucket", **options)
+        assert sorted(map(str, spark.read.schema(bucketed.schema).parquet(f"{base}/t").collect())) == expected
+        return done
+
+    before = files()
+    assert merge({}) == 0 and files() == before
+    one = merge({"k3": "other"})
+    assert one == 1 and len(before.items() - files().items()) == 1
+    assert 1 <= merge({"k3": "other", "k4": None, "new": "x"}) <= 2
+    assert merge({"k3": "other", "k4": None, "new": "x"}) == 0
+
+
 def test_null_values_are_compared(spark):
     t = spark.createDataFrame([("a", None, True, OLD), ("b", "x", True, OLD)], "id string, v string, is_active boolean, updated_at timestamp_ntz")
     s = spark.createDataFrame([("a", None), ("b", None)], "id string, v string")

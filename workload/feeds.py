@@ -9,14 +9,14 @@ from pyspark.sql import types as T
 
 from stratafold.functions.temporal import day_of
 from stratafold.operators.incremental import high_watermark, increment
-from stratafold.operators.maintenance import compact
+from stratafold.operators.maintenance import compact, compact_partitions, partition_files
 from stratafold.operators.quality import QualityError, Rule, run_suite
 from stratafold.operators.versions import VersionedTable
-from stratafold.operators.writers import land_json_by_date, overwrite_partitions, replace_table
+from stratafold.operators.writers import append_partitions, land_json_by_date, overwrite_partitions, replace_table
 from stratafold.plans.matches import rows_per_date
 from stratafold.sources.files import partition, scan_csv, scan_dated_json, scan_json
 from stratafold.sources.payload import PAYLOAD_DDL, finished, flatten_payload, landing_slice
-from stratafold.workspace import fresh_path
+from stratafold.workspace import fresh_path, materialise
 from workload.proxies import MATCH_SQL, raw_matches
 from workload.registry import query, table
 
@@ -84,6 +84,23 @@ def csv_dimension_query(spark, sf_dir):
     return scan_csv(spark, folder, "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE")
 
 
+TEXT_ROWS = """
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '#' ELSE '' END || lang || ' "' || source || '"' || chr(10) || text AS note
+FROM documents"""
+
+
+@query("csv_text_dimension", TEXT_ROWS)
+def csv_text_dimension_query(spark, sf_dir):
+    """A text column with leading ``#``, quotes and line breaks, through CSV and back."""
+    folder = fresh_path(spark, "texts")
+    mark = F.when(F.col("doc_id") % 3 == 0, "#").otherwise("")
+    note = F.concat(mark, F.col("lang"), F.lit(' "'), F.col("source"), F.lit('"\n'), F.col("text"))
+    rows = table(spark, sf_dir, "documents").select(note.alias("note"), "doc_id")
+    writer = rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+    writer.option("ignoreTrailingWhiteSpace", False).csv(folder)
+    return scan_csv(spark, folder, "note STRING, doc_id BIGINT", multi_line=True)
+
+
 def landed_matches(spark, sf_dir):
     """Raw match documents, landed as text and read with their nested schema."""
     folder = fresh_path(spark, "raw-matches")
@@ -210,6 +227,32 @@ def audit_publish_query(spark, sf_dir):
     raise AssertionError("the damaged batch was published")
 
 
+@query(
+    "compaction_selective",
+    f"""
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS rows, sum(event_id)::BIGINT AS ids, 1::BIGINT AS files,
+       CASE WHEN strftime(ts, '%Y-%m-%d') < '{MIDDLE}' THEN 'packed' ELSE 'left alone' END AS done
+FROM events GROUP BY ALL""",
+)
+def compaction_selective_query(spark, sf_dir):
+    """Days before the middle come in three lots; only their partitions are packed."""
+    path = fresh_path(spark, "lots")
+    events = with_day(table(spark, sf_dir, "events"))
+    early = F.col("day") < MIDDLE
+    for lot in range(3):
+        append_partitions(events.filter(early & (F.col("event_id") % 3 == lot)), path, ["day"])
+    append_partitions(events.filter(~early), path, ["day"])
+    before = partition_files(spark, path, "day").select("partition", F.col("files").alias("before"))
+    before = materialise(before, "files-before")
+    compact_partitions(spark.read.schema(events.schema).parquet(path), path, "day")
+    after = partition_files(spark, path, "day").select("partition", "files").join(before, "partition")
+    done = F.when(F.col("before") > F.col("files"), "packed").otherwise("left alone")
+    counted = spark.read.schema(events.schema).parquet(path).groupBy("day").agg(
+        F.count("*").alias("rows"), F.sum("event_id").alias("ids")
+    )
+    return counted.join(after, counted["day"] == after["partition"]).select("day", "rows", "ids", "files", done.alias("done"))
+
+
 @query("compaction_preserves_rows", "SELECT event_id, ts, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS day FROM events")
 def compaction_query(spark, sf_dir):
     scattered, packed = fresh_path(spark, "scattered"), fresh_path(spark, "packed")

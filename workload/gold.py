@@ -17,6 +17,7 @@ from stratafold.operators.quality import (
     summary_frame,
 )
 from stratafold.operators.star import build_fact, canonical_dimension, coverage_mart, describe_dimension
+from stratafold.plans.gold import gold_rules
 from workload.proxies import ENTITY_SQL, entities
 from workload.registry import query, table
 
@@ -236,6 +237,38 @@ def dq_suite_query(spark, sf_dir):
     return evaluate(ent, rules, {"etype_known": Reference(table(spark, sf_dir, "customer"), "c_mktsegment")})
 
 
+@query(
+    "gold_checks",
+    f"WITH {STAR_SQL} "
+    + " UNION ALL ".join(
+        [
+            unique_sql("locations_location_key_unique", "fail", "location_key", "dim_loc"),
+            *[missing_sql(f"locations_{c}_not_null", "fail", c, 0, "dim_loc") for c in ("location_key", "city", "state", "country")],
+            unique_sql("types_type_key_unique", "fail", "type_key", "dim_type"),
+            *[missing_sql(f"types_{c}_not_null", "fail", c, 0, "dim_type") for c in ("type_key", "etype")],
+            missing_sql("types_type_description_not_null", "fail", "d", 0,
+                        "(SELECT CASE WHEN upper(etype) <> 'FURNITURE' THEN etype END AS d FROM dim_type)").replace(
+                            "missing_count(d)", "missing_count(type_description)"),
+            unique_sql("fact_entity_key_unique", "fail", "entity_key", "fact"),
+            *[missing_sql(f"fact_{c}_not_null", "fail", c, 0, "fact") for c in ("entity_key", "location_key", "type_key")],
+            *[result_sql(f"{c}", "relationships", "fail", "n = 0", "n", "0",
+                         f"'relationships({c}): ' || n || ' row(s) without a parent'",
+                         f"SELECT count(*) AS n FROM fact WHERE {c} NOT IN (SELECT {c} FROM {d})")
+              for c, d in (("location_key", "dim_loc"), ("type_key", "dim_type"))],
+        ]
+    ),
+)
+def gold_checks_query(spark, sf_dir):
+    """What is checked before gold tables are published; the seed lacks one type."""
+    ent = entities(spark, sf_dir)
+    locations, types = dim_locations(ent), dim_types_query(spark, sf_dir)
+    found = evaluate(locations, gold_rules("locations", ["location_key"], ["city", "state", "country"]))
+    found = found.unionByName(evaluate(types, gold_rules("types", ["type_key"], ["etype", "type_description"])))
+    parents = {"location_key": Reference(locations, "location_key"), "type_key": Reference(types, "type_key")}
+    rules = gold_rules("fact", ["entity_key"], ["location_key", "type_key"], list(parents))
+    return found.unionByName(evaluate(fact(ent), rules, parents))
+
+
 @query(
     "relationships_check",
     """

@@ -10,11 +10,12 @@ from stratafold.functions.temporal import ntz as instant
 from stratafold.functions.text import null_to_sentinel
 from stratafold.operators.dedup import latest_per_key, latest_per_key_agg
 from stratafold.operators.lookup import LookupStep, coverage, lookup_cascade, lookup_left, prepare_lookup
-from stratafold.operators.maintenance import expired_versions, orphan_files
-from stratafold.operators.merge import merge_newer, merge_table, merge_touched_partitions, shrink_report
+from stratafold.operators.maintenance import expired_versions, orphan_files, unlisted_folders
+from stratafold.operators.merge import key_bucket, merge_changed_buckets, merge_newer, merge_table, merge_touched_partitions, shrink_report
 from stratafold.operators.quality import evaluate, Rule
 from stratafold.operators.quarantine import NULL_ID, quarantine_rows, split_invalid, write_quarantine
 from stratafold.operators.scd2 import apply_changes, as_of, closed_versions, open_versions, version_intervals
+from stratafold.operators.versions import VersionedTable
 from stratafold.operators.writers import replace_table
 from stratafold.workspace import fresh_path, materialise
 from workload.feeds import MIDDLE_TS, before_middle
@@ -35,6 +36,13 @@ def latest_per_key_query(spark, sf_dir):
     return latest_per_key(table(spark, sf_dir, "events"), ["user_id"], "ts", ["event_id"])
 
 
+@query("latest_per_key_ties", LATEST_SQL.replace("FROM events", "FROM (SELECT * REPLACE (date_trunc('hour', ts) AS ts) FROM events)"))
+def latest_per_key_ties_query(spark, sf_dir):
+    """By the hour, users have several latest events; the tie-break decides."""
+    hourly = table(spark, sf_dir, "events").withColumn("ts", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return latest_per_key(hourly, ["user_id"], "ts", ["event_id"])
+
+
 @query("latest_per_key_agg", LATEST_SQL)
 def latest_per_key_agg_query(spark, sf_dir):
     return latest_per_key_agg(table(spark, sf_dir, "events"), ["user_id"], "ts", ["event_id"])
@@ -236,6 +244,34 @@ def merge_touched_partitions_query(spark, sf_dir):
     return spark.read.schema(target.schema).parquet(path).drop("month")
 
 
+@query(
+    "merge_changed_buckets",
+    merge_sql(
+        updated("o_orderstatus") + ", " + locked("o_orderkey", "o_totalprice", "o_orderdate"),
+        "FALSE",
+        f"CASE WHEN t.is_active THEN {RUN_SQL} ELSE t.updated_at END",
+        f"CASE WHEN t.is_active AND t.o_orderstatus = s.o_orderstatus THEN t.updated_at ELSE {RUN_SQL} END",
+    ),
+)
+def merge_changed_buckets_query(spark, sf_dir):
+    """A soft-delete merge into a table bucketed by key; merged again, no bucket changes."""
+    target, source = order_states(spark, sf_dir)
+    keys = ["o_custkey", "o_orderpriority"]
+    bucketed = target.withColumn("bucket", key_bucket(keys, 16))
+    path = fresh_path(spark, "buckets")
+    replace_table(bucketed, path, ["bucket"])
+    source = materialise(source.withColumn("bucket", key_bucket(keys, 16)), "source")
+    for _ in range(2):
+        stored = spark.read.schema(bucketed.schema).parquet(path)
+        rewritten = merge_changed_buckets(
+            stored, source, path, bucket="bucket", keys=keys, update=["o_orderstatus"], as_of=instant(RUN),
+            on_missing="deactivate", source_is_unique=True,
+        )
+    if rewritten:
+        raise AssertionError("a merge without news rewrote buckets")
+    return spark.read.schema(bucketed.schema).parquet(path).drop("bucket")
+
+
 @query(
     "schema_append_columns",
     f"""
@@ -370,6 +406,18 @@ def snapshot_expiry_query(spark, sf_dir):
     return expired_versions(log, instant(dt.datetime(2024, 2, 10)), version="event_id", published_at="ts")
 
 
+@query("orphan_versions", "SELECT 'crashed' AS name, count(*) AS kept_rows FROM events WHERE ts >= TIMESTAMP '" + MIDDLE_TS + "'")
+def orphan_versions_query(spark, sf_dir):
+    """Folders of a versioned table that no log entry names, from the real listing."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    versions = VersionedTable(spark, fresh_path(spark, "versions"))
+    versions.publish(events.filter(before_middle()), dt.datetime(2024, 1, 16))
+    versions.publish(events.filter(~before_middle()), dt.datetime(2024, 1, 31))
+    replace_table(events, f"{versions.data_path}/crashed")
+    names = [path.rpartition("/")[2] for path in unlisted_folders(versions, dt.datetime(2100, 1, 1))]
+    return versions.read().agg(F.lit(",".join(names)).alias("name"), F.count("*").alias("kept_rows"))
+
+
 @query(
     "orphan_files",
     """
