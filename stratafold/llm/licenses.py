@@ -68,11 +68,11 @@ def shingles(text: Column, size: int = SHINGLE_WORDS) -> Column:
 
 
 def template_table(spark: SparkSession, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """template, hashes (distinct), width: the power of two that holds them, at least 8."""
+    """template, hashes (distinct), width: the smallest power of two that holds them."""
     listed = F.array(*[F.struct(F.lit(n).alias("template"), F.lit(t).alias("text")) for n, t in sorted(templates.items())])
     rows = spark.range(1).select(F.explode(listed).alias("t")).select("t.*")
     sets = rows.select("template", F.array_distinct(shingles(F.col("text"))).alias("hashes")).filter(F.size("hashes") > 0)
-    return sets.withColumn("width", F.greatest(F.lit(8), F.pow(2, F.ceil(F.log2(F.size("hashes"))))).cast("int"))
+    return sets.withColumn("width", F.pow(2, F.ceil(F.log2(F.size("hashes")))).cast("int"))
 
 
 def _signature(hashes: Column, count: int) -> Column:
@@ -131,7 +131,7 @@ texts AS (
 ), held AS (
     SELECT DISTINCT template, shingle FROM placed WHERE template IS NOT NULL
 ), sizes AS (
-    SELECT template, count(*) AS n, greatest(8, 2 ** ceil(log2(count(*))))::BIGINT AS width FROM held GROUP BY template
+    SELECT template, count(*) AS n, (2 ** ceil(log2(count(*))))::BIGINT AS width FROM held GROUP BY template
 ), hits AS (
     SELECT DISTINCT doc_id, h.template, n, width, p.shingle, unnest([place // width - 1, place // width]) AS win
     FROM placed p JOIN held h USING (shingle) JOIN sizes s ON s.template = h.template
