@@ -17,6 +17,7 @@ Rule = tuple[str, Column]
 NULL_ID = "NULL_ID"
 NULL_MATCH_ID = "NULL_GE_MATCH_ID"
 BAD_PATH_DATE = "BAD_PATH_DATE"
+CORRUPT_DOCUMENT = "CORRUPT_DOCUMENT"
 
 
 def split_invalid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:

@@ -13,12 +13,19 @@ from stratafold.functions.text import null_to_sentinel, strip_accents
 from stratafold.operators.dedup import latest_per_key
 from stratafold.operators.merge import assert_not_shrinking, merge_table
 from stratafold.operators.quality import bundled_suite, materialise_with_summary, run_suite
-from stratafold.operators.quarantine import NULL_ID, count_invalid, quarantine_rows, split_invalid, write_quarantine
+from stratafold.operators.quarantine import (
+    CORRUPT_DOCUMENT,
+    NULL_ID,
+    count_invalid,
+    quarantine_rows,
+    split_invalid,
+    write_quarantine,
+)
 from stratafold.operators.versions import VersionedTable
 from stratafold.operators.writers import overwrite_partitions
 from stratafold.plans import contracts as c
-from stratafold.sources.files import partition, scan_json, scan_table
-from stratafold.workspace import cleans_up
+from stratafold.sources.files import CORRUPT_COLUMN, partition, scan_json, scan_table
+from stratafold.workspace import cleans_up, materialise
 
 logger = logging.getLogger(__name__)
 
@@ -37,14 +44,26 @@ def with_ingest_columns(df: DataFrame, run_date: str, as_of: dt.datetime | None)
 
 @cleans_up
 def ingest_snapshot(
-    spark: SparkSession, staging: str, bronze: str, run_date: str, as_of: dt.datetime | None = None
+    spark: SparkSession,
+    staging: str,
+    bronze: str,
+    run_date: str,
+    as_of: dt.datetime | None = None,
+    broken: str | None = None,
 ) -> int:
     """Read the day's landed pages, check them, replace that day's partition.
 
     The JSON is parsed once, into the shared folder; checks and the final write
-    read columns from there.  Returns the rows written.
+    read columns from there.  Returns the rows written.  With ``broken``, documents that
+    cannot be parsed go there with their text, the day's in place of those of an earlier
+    run; without, each is a row of NULLs.
     """
-    landed = scan_json(spark, f"{staging.rstrip('/')}/{run_date}/", c.ENTITY)
+    landed = scan_json(spark, f"{staging.rstrip('/')}/{run_date}/", c.ENTITY, keep_corrupt=broken is not None)
+    if broken is not None:
+        parsed = materialise(landed, "entity-landed")
+        lost = parsed.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(F.col(CORRUPT_COLUMN).alias("document"))
+        overwrite_partitions(quarantine_rows(lost.withColumn("quarantine_reason", F.lit(CORRUPT_DOCUMENT)), ["document"], run_date, as_of), broken, ["quarantine_date"])
+        landed = parsed.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
     staged, summary = materialise_with_summary(
         with_ingest_columns(landed, run_date, as_of), "entity-bronze", "bronze", ["id", "name", "brewery_type"]
     )

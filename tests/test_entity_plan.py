@@ -106,6 +106,17 @@ def test_missing_state_gets_the_sentinel(flow):
     assert flow.state().first().state == "__UNKNOWN__"
 
 
+def test_broken_documents_keep_their_text(flow, spark):
+    folder = flow.root / "staging" / D1
+    folder.mkdir(parents=True)
+    (folder / "page_0.json").write_text('[{"id": "lost", ')
+    (folder / "page_1.json").write_text(json.dumps(ROWS[:2]))
+    for _ in range(2):
+        rows = ingest_snapshot(spark, f"{flow.base}/staging", flow.bronze, D1, flow.when(D1), f"{flow.base}/broken")
+        assert rows == 2
+    assert [(r.document, r.quarantine_reason) for r in spark.read.parquet(f"{flow.base}/broken").collect()] == [('[{"id": "lost", ', "CORRUPT_DOCUMENT")]
+
+
 def test_an_empty_state_is_kept(flow):
     assert flow.day(D1, [{**ROWS[0], "state": ""}])
     assert flow.state().first().state == ""
