@@ -226,7 +226,8 @@ def _links_between(lists: DataFrame, classes: DataFrame, docs: DataFrame, linked
         "component", F.coalesce("component", "class_id")
     )
     # With two members the first round has compared all there is.
-    open_lists = (
+    named = materialise(named, "near-named")
+    open_lists = materialise(
         named.groupBy("value")
         .agg(
             F.count("*").alias("members"),
@@ -235,7 +236,8 @@ def _links_between(lists: DataFrame, classes: DataFrame, docs: DataFrame, linked
             F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"),
         )
         .filter((F.col("members") > 2) & (F.col("lowest") != F.col("highest")))
-        .select("value", "blocks")
+        .select("value", "blocks"),
+        "near-open",
     )
     block = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
     parts = materialise(
@@ -280,7 +282,9 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     classes = materialise(every.filter("class_id IS NOT NULL"), "near-classes")
     lists = materialise(inverted_lists(classes, percent), "near-lists")
 
+    # Written, so that the join meets plain tables and can split a long list's partition.
     heads = lists.groupBy("value").agg(F.min("class_id").alias("b"), F.count("*").alias("members")).filter("members > 1")
+    heads = materialise(heads, "near-heads")
     stars = lists.join(heads, "value").select(F.col("class_id").alias("a"), "b").filter("a <> b").distinct()
     pairs = materialise(_estimated(stars, classes, percent), "near-pairs")
     first = _confirmed(pairs, docs, words, percent)
