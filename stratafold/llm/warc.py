@@ -40,20 +40,23 @@ def parse_http(block: Column) -> Column:
 
     What is not HTTP has a NULL status; the body is what follows the first empty line.
     """
-    parts = F.split(F.coalesce(block, F.lit("")), "\r?\n\r?\n", 2)
-    lines = F.split(parts[0], "\r?\n")
-    status = F.regexp_extract(lines[0], r"^HTTP/[0-9.]+ ([0-9]{3})", 1)
-    fields = F.filter(F.slice(lines, 2, F.size(lines)), lambda line: F.instr(line, ":") > 1)
 
     def header(line: Column) -> Column:
         pair = F.split(line, ":", 2)
         return F.struct(F.lower(F.trim(pair[0])).alias("name"), F.trim(pair[1]).alias("value"))
 
-    return F.struct(
-        F.when(status != "", status.cast("int")).alias("status"),
-        F.transform(fields, header).alias("headers"),
-        F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("body"),
-    )
+    def parsed(parts: Column, lines: Column) -> Column:
+        status = F.regexp_extract(lines[0], r"^HTTP/[0-9.]+ ([0-9]{3})", 1)
+        fields = F.filter(F.slice(lines, 2, F.size(lines)), lambda line: F.instr(line, ":") > 1)
+        return F.struct(
+            F.when(status != "", status.cast("int")).alias("status"),
+            F.transform(fields, header).alias("headers"),
+            F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("body"),
+        )
+
+    # Arrays of one element make variables, which are computed once.
+    parts = F.array(F.split(F.coalesce(block, F.lit("")), "\r?\n\r?\n", 2))
+    return F.transform(parts, lambda p: F.transform(F.array(F.split(p[0], "\r?\n")), lambda lines: parsed(p, lines))[0])[0]
 
 
 def _first(headers: Column, name: str) -> Column:
@@ -109,42 +112,56 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     date a revisit is missing and a response is never used.  record_id names a record:
     repeated revisits give repeated rows, repeated responses count once.
     """
-    parsed = records.select("record_id", "record_type", "uri", "date", parse_http(F.col("block")).alias("http"))
-    full = (F.col("record_type") == "response") & (F.col("http.status") == 200) & F.col("record_id").isNotNull()
+    kept = records.filter(F.col("record_type").isin("response", "revisit"))
+    # Written without bodies: the ranges below are cut from narrow rows, and blocks are parsed once.
+    parsed = materialise(
+        kept.select("record_id", "record_type", "uri", "date", parse_http(F.col("block")).alias("http")).select(
+            "record_id", "record_type", "uri", "date", F.col("http.status").alias("status"), F.col("http.headers").alias("headers")
+        ),
+        "warc-headers",
+    )
+    full = (F.col("record_type") == "response") & (F.col("status") == 200) & F.col("record_id").isNotNull()
     placed = F.col("uri").isNotNull() & F.col("date").isNotNull()
     narrow = parsed.filter(placed & (full | (F.col("record_type") == "revisit"))).select(
         canonical_url(F.col("uri")).alias("url"),
         "date",
         (F.col("record_type") == "response").alias("is_response"),
         "record_id",
-        _first(F.col("http.headers"), "etag").alias("etag"),
-        _first(F.col("http.headers"), "last-modified").alias("modified"),
-        F.when(F.col("record_type") == "revisit", F.col("http.headers")).alias("update"),
+        _first(F.col("headers"), "etag").alias("etag"),
+        _first(F.col("headers"), "last-modified").alias("modified"),
+        F.when(F.col("record_type") == "revisit", F.col("headers")).alias("update"),
     )
-    found = _latest_before(narrow).select(
-        "record_id",
-        _agreement(F.col("etag"), F.col("modified"), F.col("old")).alias("outcome"),
-        F.col("old.record_id").alias("response_id"),
-        "update",
+    found = materialise(
+        _latest_before(narrow).select(
+            "record_id",
+            _agreement(F.col("etag"), F.col("modified"), F.col("old")).alias("outcome"),
+            F.col("old.record_id").alias("response_id"),
+            "update",
+        ),
+        "warc-outcomes",
     )
-    stored = (
-        parsed.filter(full & placed)
-        .groupBy(F.col("record_id").alias("stored_id"))
-        .agg(F.first("http").alias("stored"))
-    )
-    # Only resolved revisits look for a body.
-    wanted = F.when(F.col("outcome") == RESOLVED, F.col("response_id"))
-    whole = found.withColumn("wanted", wanted).join(stored, F.col("wanted") == F.col("stored_id"), "left")
-    headers = F.when(F.col("stored").isNotNull(), merge_headers(F.col("stored.headers"), F.col("update")))
-    resolved = whole.select("record_id", "outcome", "response_id", headers.alias("headers"), F.col("stored.body").alias("body"))
-    lost = parsed.filter((F.col("record_type") == "revisit") & ~placed).select(
-        "record_id",
-        F.lit(MISSING).alias("outcome"),
-        F.lit(None).cast("string").alias("response_id"),
-        F.lit(None).cast(resolved.schema["headers"].dataType).alias("headers"),
-        F.lit(None).cast("string").alias("body"),
+    # Only resolved revisits look for a body; a response that is there twice counts once.
+    stored = kept.filter(F.col("record_type") == "response").groupBy(F.col("record_id").alias("response_id")).agg(F.first("block").alias("block"))
+    resolved = (
+        found.filter(F.col("outcome") == RESOLVED)
+        .join(stored, "response_id")
+        .withColumn("http", parse_http(F.col("block")))
+        .select(
+            "record_id",
+            "outcome",
+            "response_id",
+            merge_headers(F.col("http.headers"), F.col("update")).alias("headers"),
+            F.col("http.body").alias("body"),
+        )
     )
-    return resolved.unionByName(lost)
+
+    def unresolved(rows: DataFrame, outcome: Column, response_id: Column) -> DataFrame:
+        nothing = [F.lit(None).cast(resolved.schema[c].dataType).alias(c) for c in ("headers", "body")]
+        return rows.select("record_id", outcome.alias("outcome"), response_id.alias("response_id"), *nothing)
+
+    others = unresolved(found.filter(F.col("outcome") != RESOLVED), F.col("outcome"), F.col("response_id"))
+    lost = parsed.filter((F.col("record_type") == "revisit") & ~placed)
+    return resolved.unionByName(others).unionByName(unresolved(lost, F.lit(MISSING), F.lit(None).cast("string")))
 
 
 # A page is captured at the minute of its id and asked for again so many minutes later.
@@ -157,7 +174,8 @@ def records_of_pages(pages: DataFrame) -> DataFrame:
     Revisits bring an entity tag (every seventh page another one than was stored), every
     fifth page brings the date of modification alone, every eleventh no validator.
     """
-    tag = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit(""))), F.lit('"'))
+    pages = pages.select("page_id", "url", "html", F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit(""))), F.lit('"')).alias("tag"))
+    tag = F.col("tag")
     modified = F.concat(F.lit("day "), F.col("page_id") % 28)
 
     def block(*parts: Column | str) -> Column:
