@@ -1,8 +1,8 @@
 """Session settings this library is written for.
 
 Only settings that change a plan are listed; sizes (memory, executor counts)
-belong to the cluster.  Shuffle partition counts start high enough for the data
-and are coalesced by adaptive execution.
+belong to the cluster, as does ``spark.sql.shuffle.partitions``: set it so that a
+partition holds some 256 MB; adaptive execution merges what turns out small.
 """
 
 from __future__ import annotations
@@ -18,24 +18,6 @@ RECOMMENDED = {
 }
 
 
-# Bytes a shuffle partition should hold: it is sorted and joined in memory.
-SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-
-
-def shuffle_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
-    """Settings for a job that shuffles about that many (compressed) bytes.
-
-    At least three partitions per core keep a cluster busy; adaptive execution
-    merges what turns out small.
-    """
-    by_size = -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES)
-    count = max(by_size, 3 * cores)
-    return {
-        "spark.sql.shuffle.partitions": str(count),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
-    }
-
-
 def build_session(app_name: str, **overrides: str) -> SparkSession:
     """A session with the recommended settings; ``overrides`` win."""
     builder = SparkSession.builder.appName(app_name)

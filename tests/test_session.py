@@ -2,19 +2,10 @@ from pyspark.sql import functions as F
 
 from stratafold.operators.maintenance import compact
 from stratafold.operators.writers import in_partitions, replace_table
-from stratafold.session import RECOMMENDED, shuffle_settings
+from stratafold.session import RECOMMENDED
 from tests.conftest import plan_of
 
 
-def test_shuffle_partitions_follow_the_data():
-    def count(size, cores=8):
-        return int(shuffle_settings(size, cores)["spark.sql.shuffle.partitions"])
-
-    assert count(0) == 24
-    assert count(10 * 2**40) == 40_960
-    assert count(100 * 2**40) == 100 * 2**40 // (256 * 2**20)
-
-
 def test_adaptive_execution_is_on(spark):
     for key in RECOMMENDED:
         if key != "spark.sql.session.timeZone":
@@ -31,7 +22,7 @@ def test_named_partitions_prune(spark, base):
     assert "PartitionFilters: [(" in plan_of(rows)
 
 
-def test_many_named_partitions_are_joined(spark, monkeypatch):
+def test_many_named_partitions_are_joined(spark):
     table = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n int, p string")
     rows, count = in_partitions(table, table.filter("n > 1").select("p"), "p", max_listed=1)
     assert count == 2 and sorted(r.n for r in rows.collect()) == [2, 3]
