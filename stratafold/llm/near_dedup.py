@@ -38,6 +38,8 @@ SKETCH = 32
 OVERLAP = 14
 # Shingles a task compares at once; larger lists are cut into blocks that meet two by two.
 BLOCK_SHINGLES = 2_000_000
+# Members of short lists that are looked at in one go; a list with a tenth as many is long.
+LANE_ROWS = 2_000
 # A task with more candidates than this per member compares full sets itself.
 DENSE = 4
 
@@ -159,13 +161,9 @@ def _overlaps(sets: list[np.ndarray], wanted: Iterable[int]) -> Iterator[tuple[i
 
 
 def _estimate_group(percent: int):
-    """Candidates between components in one task's part of a list, or a mark that there are too many."""
+    """Candidates between components in each part of a list, or a mark that there are too many."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, comps, blocks = rows["class_id"].to_numpy(), rows["component"].to_numpy(), rows["block"].to_numpy()
-        sizes = rows["n_shingles"].to_numpy()
-        sets = [np.asarray(h, np.int64) for h in rows["hashes"]]
-        value, low, high = rows["value"].iloc[0], int(rows["low"].iloc[0]), int(rows["high"].iloc[0])
+    def one(value: int, low: int, high: int, ids, comps, blocks, sizes, sets) -> list[tuple]:
         least = np.where(sizes <= SKETCH * percent // 100, np.ceil(sizes * percent / 100), OVERLAP)
         found: list[tuple[int, int]] = []
         for i, shared in _overlaps(sets, range(len(sets))):
@@ -174,15 +172,25 @@ def _estimate_group(percent: int):
                 right &= blocks != blocks[i]
             found.extend((i, int(j)) for j in np.flatnonzero(right))
             if len(found) > DENSE * len(sets):
-                return pd.DataFrame({"value": [value], "low": [low], "high": [high], "a": [None], "b": [None]})
+                return [(value, low, high, None, None)]
         kept = []
         for i, j in found:
             union = np.union1d(sets[i], sets[j])[:SKETCH]
             common = np.intersect1d(np.intersect1d(sets[i], sets[j], assume_unique=True), union, assume_unique=True)
             if len(common) >= min(OVERLAP, math.ceil(len(union) * percent / 100)):
-                kept.append((int(ids[i]), int(ids[j])))
-        out = pd.DataFrame(kept, columns=["a", "b"])
-        return out.assign(value=value, low=low, high=high)[["value", "low", "high", "a", "b"]]
+                kept.append((value, low, high, int(ids[i]), int(ids[j])))
+        return kept
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["value", "low", "high"], kind="stable")
+        keys = [rows[k].to_numpy() for k in ("value", "low", "high")]
+        held = [rows[k].to_numpy() for k in ("class_id", "component", "block", "n_shingles")]
+        sets = [np.asarray(h, np.int64) for h in rows["hashes"]]
+        edges = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        found: list[tuple] = []
+        for start, end in zip([0, *edges], [*edges, len(rows)]):
+            found += one(*(int(k[start]) for k in keys), *(h[start:end] for h in held), sets[start:end])
+        return pd.DataFrame(found, columns=["value", "low", "high", "a", "b"])
 
     return run
 
@@ -236,7 +244,7 @@ def _links_between(lists: DataFrame, classes: DataFrame, docs: DataFrame, linked
             F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"),
         )
         .filter((F.col("members") > 2) & (F.col("lowest") != F.col("highest")))
-        .select("value", "blocks"),
+        .select("value", "blocks", (F.col("members") > LANE_ROWS // 10).alias("long")),
         "near-open",
     )
     block = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
@@ -244,13 +252,18 @@ def _links_between(lists: DataFrame, classes: DataFrame, docs: DataFrame, linked
         named.join(open_lists, "value")
         .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "class_id", "component", "n_shingles"),
+        .select("value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "class_id", "component", "n_shingles", "long"),
         "near-open-lists",
     )
     keys = ["value", "low", "high"]
+    # Short lists share a task, for a task of its own costs more than they do.
+    lanes = max(1, parts.filter("NOT long").count() // LANE_ROWS)
+    lane = F.when(F.col("long"), F.struct(*keys)).otherwise(
+        F.struct(F.pmod(F.xxhash64("value"), F.lit(lanes)).alias("value"), F.lit(-1).alias("low"), F.lit(-1).alias("high"))
+    )
     estimates = materialise(
         parts.join(classes.select("class_id", "hashes"), "class_id")
-        .groupBy(keys)
+        .groupBy(lane.alias("lane"))
         .applyInPandas(_estimate_group(percent), "value long, low int, high int, a long, b long"),
         "near-estimates",
     )
