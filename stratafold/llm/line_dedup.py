@@ -82,8 +82,8 @@ def drop_spread_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
         .groupBy(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
         .agg(F.collect_set("position").alias("gone_at"))
     )
-    # Most documents have such a line, so this table grows with the corpus and is never hinted for a broadcast.
-    gone = materialise(gone, "dedup-gone")
+    # Most documents have such a line, so this table grows with the corpus: a shuffled join at every size.
+    gone = materialise(gone, "dedup-gone").hint("merge")
     match = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_key"])
     left = F.filter(_lines(docs["text"]), lambda line, i: ~F.array_contains(gone["gone_at"], i))
     text = F.when(gone["gone_at"].isNull(), docs["text"]).otherwise(F.array_join(left, "\n")).alias("text")
