@@ -20,6 +20,9 @@ from stratafold.workspace import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Near duplicates of the corpus: shared shingles of five words in percent of those of both.
+NEAR_PERCENT = 80
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, learned from ``labels``, accepts."""
@@ -38,11 +41,11 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest doc_id.
+    """One document of each group of near duplicates (``NEAR_PERCENT``), the one with the smallest doc_id.
 
     Rows without a doc_id cannot be named and stay.
     """
-    group, kept = unused_name(docs, "gone_id"), near_dedup.near_dedup(docs)
+    group, kept = unused_name(docs, "gone_id"), near_dedup.near_dedup(docs, percent=NEAR_PERCENT)
     gone = kept.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(group)).distinct()
     return docs.join(gone, docs["doc_id"] == F.col(group), "left_anti")
 

@@ -1,7 +1,7 @@
 """Near-duplicate documents by bottom-k sketches, confirmed on full shingle sets.
 
 One hash function orders all shingles; a document's sketch is the smallest ``SKETCH``
-values of its set.  Two documents similar enough share at least ``OVERLAP`` retained
+values of its set.  Two documents similar enough share at least ``least_shared`` retained
 values (see there), so by the prefix principle they meet in the inverted list of one of
 their rarest retained values, and only those lists are built: a passage that very many documents
 share fills a list only for documents that consist of such passages.
@@ -33,9 +33,8 @@ WORDS = 5
 PERCENT = 85
 # Values a sketch retains.
 SKETCH = 32
-# Retained values two linked documents share.  Of the 32 smallest values of the union of two
-# sets with similarity 0.85 or more, fewer than 14 are common to both with probability 9e-9.
-OVERLAP = 14
+# Chance that two linked documents share fewer retained values than they are searched by.
+MISS = 3e-8
 # Shingles a task compares at once; larger lists are cut into blocks that meet two by two.
 BLOCK_SHINGLES = 2_000_000
 # Members of short lists that are looked at in one go; a list with a tenth as many is long.
@@ -92,12 +91,28 @@ def sketches(docs: DataFrame, words: int, keep: int | None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sketch, "doc_id long, n_shingles long, set_key binary, hashes array<long>")
 
 
+def least_shared(percent: int, miss: float = MISS) -> int:
+    """Retained values two linked documents share, but for the chance ``miss``: 14 at 85 percent, 12 at 80.
+
+    Of the ``SKETCH`` smallest values of the union of two linked sets, each is common to both with a chance
+    of at least ``percent``; they are drawn without replacement, so a binomial tail bounds the chance of fewer.
+    """
+    share = percent / 100
+    below, least = (1 - share) ** SKETCH, 0
+    while below <= miss and least < SKETCH:
+        least += 1
+        below += math.comb(SKETCH, least) * share**least * (1 - share) ** (SKETCH - least)
+    if not least:
+        raise ValueError(f"sketches of {SKETCH} values miss links at {percent} percent with a chance above {miss}")
+    return least
+
+
 def _least_overlap(n: Column, percent: int) -> Column:
     """Retained values a document of n shingles shares with any it is linked to.
 
     Up to the first bound its partners' sketches are whole sets, where the share is exact.
     """
-    return F.when(n <= SKETCH * percent // 100, F.ceil(n * percent / 100)).otherwise(F.lit(OVERLAP)).cast("int")
+    return F.when(n <= SKETCH * percent // 100, F.ceil(n * percent / 100)).otherwise(F.lit(least_shared(percent))).cast("int")
 
 
 def inverted_lists(classes: DataFrame, percent: int) -> DataFrame:
@@ -130,7 +145,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     right = classes.select(F.col("class_id").alias("b"), F.col("hashes").alias("right"))
     union = F.slice(F.array_sort(F.array_union("left", "right")), 1, SKETCH)
     common = F.size(F.array_intersect(F.array_intersect("left", "right"), union))
-    enough = F.least(F.lit(OVERLAP), F.ceil(F.size(union) * percent / 100))
+    enough = F.least(F.lit(least_shared(percent)), F.ceil(F.size(union) * percent / 100))
     return pairs.join(left, "a").join(right, "b").filter(common >= enough).select("a", "b").distinct()
 
 
@@ -162,9 +177,10 @@ def _overlaps(sets: list[np.ndarray], wanted: Iterable[int]) -> Iterator[tuple[i
 
 def _estimate_group(percent: int):
     """Candidates between components in each part of a list, or a mark that there are too many."""
+    fewest = least_shared(percent)
 
     def one(value: int, low: int, high: int, ids, comps, blocks, sizes, sets) -> list[tuple]:
-        least = np.where(sizes <= SKETCH * percent // 100, np.ceil(sizes * percent / 100), OVERLAP)
+        least = np.where(sizes <= SKETCH * percent // 100, np.ceil(sizes * percent / 100), fewest)
         found: list[tuple[int, int]] = []
         for i, shared in _overlaps(sets, range(len(sets))):
             right = (shared >= np.minimum(least[i], least)) & (comps != comps[i]) & (ids > ids[i])
@@ -177,7 +193,7 @@ def _estimate_group(percent: int):
         for i, j in found:
             union = np.union1d(sets[i], sets[j])[:SKETCH]
             common = np.intersect1d(np.intersect1d(sets[i], sets[j], assume_unique=True), union, assume_unique=True)
-            if len(common) >= min(OVERLAP, math.ceil(len(union) * percent / 100)):
+            if len(common) >= min(fewest, math.ceil(len(union) * percent / 100)):
                 kept.append((value, low, high, int(ids[i]), int(ids[j])))
         return kept
 
@@ -286,7 +302,8 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     shingles: linked with nothing, its own component.  doc_id names a document: rows that
     repeat one are the same node and share its component.  A row with a NULL doc_id cannot
     be named; it takes the component of texts with the same shingles, or NULL, and is kept
-    only in the latter case.
+    only in the latter case.  A link is missed with a chance of ``MISS``; below 42 percent the
+    sketches cannot give that, which is an error.
     """
     described = materialise(sketches(docs, words, SKETCH), "near-sketches")
     every = described.filter("n_shingles > 0").groupBy("set_key").agg(

@@ -1,11 +1,13 @@
 """Exact, near and line dedup against plain versions."""
 
 import hashlib
+import math
 import random
 import re
 
 import pytest
 
+import corpus_pipeline
 from stratafold.llm.exact_dedup import exact_dedup
 from stratafold.llm.graph import components
 from stratafold.llm.line_dedup import drop_spread_lines, line_table, spread_lines
@@ -163,6 +165,38 @@ def test_near_dedup_equals_all_pairs(spark, monkeypatch, dense, shingles):
     assert got == plain_near(rows)
 
 
+def test_the_stage_keeps_one_of_all_pairs_at_80_percent(spark):
+    random.seed(8)
+    vocabulary = [f"w{i}" for i in range(900)]
+    rows = []
+    for base in range(40):  # of 200 shingles, one new word in the middle takes 5, so 3 or 4 of them lead to 0.81 to 0.86
+        words = random.choices(vocabulary, k=204)
+        rows.append((len(rows), " ".join(words)))
+        for new in (3, 4, 5):
+            copy = list(words)
+            for at in range(20, 20 + 30 * new, 30):
+                copy[at] = f"new{base}and{new}"
+            rows.append((len(rows), " ".join(copy)))
+    random.shuffle(rows)
+    kept = corpus_pipeline.keep_one_of_near(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    want = plain_near(rows, 80)
+    assert {r.doc_id for r in kept.collect()} == set(want.values()) < set(plain_near(rows, 85).values())
+
+
+@pytest.mark.parametrize("percent, least", [(50, 2), (80, 12), (85, 14), (100, 32)])
+def test_shared_values_follow_from_the_chance_of_a_miss(percent, least):
+    def missed(k):
+        return sum(math.comb(near.SKETCH, i) * (percent / 100) ** i * (1 - percent / 100) ** (near.SKETCH - i) for i in range(k))
+
+    assert near.least_shared(percent) == least and missed(least) <= near.MISS
+    assert least == near.SKETCH or missed(least + 1) > near.MISS
+
+
+def test_links_too_weak_for_the_sketches_are_refused():
+    with pytest.raises(ValueError):
+        near.least_shared(40)
+
+
 def test_near_dedup_of_odd_rows(spark, odd):
     rows = near.near_dedup(odd("component_id")).collect()
     assert len(rows) == len(ROWS)
