@@ -36,7 +36,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_dedup_digest(read_table(spark, sf_dir, "documents"))
+    return line_dedup.line_dedup_digest(read_table(spark, sf_dir, "documents"), line_dedup.SQL_SITES)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,6 +100,24 @@ def test_near_the_threshold_sites_are_counted_exactly(spark):
     assert found == {r[0] for r in spark.sql("SELECT xxhash64('twenty')").collect()}
 
 
+def test_the_stage_drops_a_passage_of_a_table_with_a_hot_source(spark):
+    passage = " ".join(f"long{i}" for i in range(60))
+    # Of 400 rows one source holds half; the passage is in 20 documents on 7 sources, other lines on 3 and 4.
+    rows = [(k, f"own {k}", "hot" if k % 2 else f"s{k % 38}") for k in range(400)]
+    for k in [*range(1, 29, 2), 2, 4, 6, 8, 10, 12]:
+        rows[k] = (k, f"own {k}\n{passage}", rows[k][2])
+    for line, ids in (("on three", (101, 103, 102, 104)), ("on four", (201, 203, 202, 204, 206))):
+        for k in ids:
+            rows[k] = (k, f"{line}\n{rows[k][1]}", rows[k][2])
+    assert len({r[2] for r in rows if passage in r[1]}) == 7
+    docs = spark.createDataFrame(rows, DOCS)
+    want = plain_lines(rows, 4)
+    assert lines_of(drop_spread_lines(docs), "n_removed") == want
+    left = [r.text for r in corpus_pipeline.drop_boilerplate(spark, docs, "").collect()]
+    assert sorted(left) == sorted(text for _, text, _ in want)
+    assert [sum(line in t for t in left) for line in (passage, "on three", "on four")] == [1, 4, 1]
+
+
 @pytest.mark.parametrize("name", ["n_removed", "gone_at", "position"])
 def test_lines_of_odd_rows(spark, odd, name):
     cleaned = drop_spread_lines(odd(name), 2)
