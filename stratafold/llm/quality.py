@@ -4,11 +4,12 @@ A document's strength is a weighted sum of features of its whole text.  A labell
 document is preferred to a labelled bad one, and the weights minimise the logistic loss on
 the feature differences of such pairs.  Strengths are compared with one quantile of theirs:
 the score is the chance of being preferred to a document there, moved so that this quantile
-has the score ``CUT``.
+has the score ``CUT``.  The weights are learned from a bounded sample, the quantile is that of all rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,6 +26,8 @@ MAX_PAIRS = 100_000
 # Weight of the penalty on squared weights, per pair.
 PENALTY = 1e-3
 CUT = 0.3
+# The cut's rank among all strengths is right to one in so many rows.
+RANKS = 10_000
 
 _NEWTON_STEPS = 30
 _GROUPS = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"!?", b"|", b"#$%&*@^~", b".", b",;:", b" \t", b"\n\r", b"<>{}[]()=_/\\+\"'`-"]
@@ -95,11 +98,30 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _cut(docs: DataFrame, model: Model, share: float) -> float:
+    """The strength below which ``share`` of the rows of ``docs`` lie that are not held out; every row has a part in it."""
+
+    def strengths(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = model.strength(np.array([features(t) for t in batch.column(0).to_pylist()]))
+            yield pa.record_batch([pa.array(found, pa.float64())], ["strength"])
+
+    free = docs.filter(~held_out())
+    rows = free.count()
+    place = (rows - 1) * share
+    # Halfway between the strengths around the place, each given by a rank that rounding cannot move.
+    ranks = [(k + 0.5) / rows for k in (math.floor(place), math.ceil(place))]
+    strength = free.select("text").mapInArrow(strengths, "strength double")
+    around = strength.agg(F.percentile_approx("strength", ranks, RANKS).alias("at")).first()["at"]
+    return float(np.mean(around))
+
+
 def fit(docs: DataFrame, labels: DataFrame, quantile: float | None = None, max_labelled: int = MAX_LABELLED) -> Model:
     """Learn from labelled rows that are not held out.
 
     At most ``max_labelled`` of them come to the driver, as features.  ``quantile`` of the
-    sample's strengths scores ``CUT``; by default it is the sample's share of bad documents.
+    strengths of all rows of ``docs`` that are not held out, labelled or not, scores ``CUT``;
+    by default it is the share of bad ones among all labels that are not held out.
     A NULL label is none; of a doc_id labelled twice, or held by several rows, all count.
     Without good or without bad labels every document has the same strength and scores ``CUT``.
     """
@@ -120,8 +142,8 @@ def fit(docs: DataFrame, labels: DataFrame, quantile: float | None = None, max_l
     mean, spread, weights = learn(data, good)
     model = Model(mean, spread, weights, 0.0)
     if weights.any():
-        share = float((good == 0).mean()) if quantile is None else quantile
-        model.quantile_at = float(np.quantile(model.strength(data), share, method="midpoint"))
+        share = usable.agg(F.avg((F.col("quality") == 0).cast("double"))).first()[0] if quantile is None else quantile
+        model.quantile_at = _cut(docs, model, share)
     return model
 
 

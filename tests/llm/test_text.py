@@ -394,6 +394,30 @@ def test_quality_on_held_out_documents(spark):
     assert quality.score_quality(frame.limit(0), model).collect() == []
 
 
+def graded(n, seed=9):
+    """Texts from all prose (good) to all shouting (bad), and how good each is."""
+    random.seed(seed)
+    words = ["river", "stone", "bridge", "walks", "quiet", "evening", "under"]
+    goods = [random.random() for _ in range(n)]
+    return [(" ".join(w if random.random() < g else w.upper() + "!!" for w in random.choices(words, k=120)), g) for g in goods]
+
+
+@pytest.mark.parametrize("limit", [40, 20_000])
+def test_the_cut_is_a_quantile_of_all_rows(spark, limit):
+    # The labelled documents are better than the others, and with the small limit most labels are not in the sample.
+    texts = graded(1500)
+    labelled = [i for i, (_, g) in enumerate(texts) if g > 0.35]
+    free = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 5]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(texts[i][1] > 0.5)) for i in labelled], "doc_id long, quality int")
+    share = np.mean([texts[i][1] <= 0.5 for i in labelled if i in set(free)])
+    model = quality.fit(docs, labels, max_labelled=limit)
+    strengths = np.array([model.strength(quality.features(texts[i][0])) for i in free])
+    assert model.quantile_at == pytest.approx(np.quantile(strengths, share, method="midpoint"))
+    scored = {r.doc_id: r.predicted for r in quality.score_quality(docs, model).collect()}
+    assert sum(1 - scored[i] for i in free) == pytest.approx(share * len(free), abs=1)
+
+
 def test_quality_without_both_labels(spark):
     docs = spark.createDataFrame([(1, "a text"), (2, None)], "doc_id long, text string")
     for given_ in ([], [(1, 1), (2, 1)]):
