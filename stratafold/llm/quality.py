@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from stratafold.llm.rows import slices
 
-# Labelled rows to learn from, at most; those with the smallest hash of their doc_id.
+# Different labels to learn from, at most; those with the smallest hash of their doc_id.
 MAX_LABELLED = 20_000
 # Pairs of a good and a bad document, at most.
 MAX_PAIRS = 100_000
@@ -119,14 +119,15 @@ def _cut(docs: DataFrame, model: Model, share: float) -> float:
 def fit(docs: DataFrame, labels: DataFrame, quantile: float | None = None, max_labelled: int = MAX_LABELLED) -> Model:
     """Learn from labelled rows that are not held out.
 
-    At most ``max_labelled`` of them come to the driver, as features.  ``quantile`` of the
+    At most ``max_labelled`` labels, with two texts each, come to the driver, as features.  ``quantile`` of the
     strengths of all rows of ``docs`` that are not held out, labelled or not, scores ``CUT``;
     by default it is the share of bad ones among all labels that are not held out.
-    A NULL label is none; of a doc_id labelled twice, or held by several rows, all count.
+    A NULL label is none; of a doc_id labelled both ways both count.  A doc_id and label count
+    once, with the two texts whose features are first and last in order if its rows hold several.
     Without good or without bad labels every document has the same strength and scores ``CUT``.
     """
     usable = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
-    sample = usable.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_labelled)
+    sample = usable.select("doc_id", "quality").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_labelled)
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,9 +135,11 @@ def fit(docs: DataFrame, labels: DataFrame, quantile: float | None = None, max_l
             found = [features(t).tolist() for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.float64()))], ["doc_id", "quality", "features"])
 
-    # A doc_id that many rows repeat must not bring them all here.
-    rows = chosen.mapInArrow(describe, f"doc_id {dict(chosen.dtypes)['doc_id']}, quality {dict(chosen.dtypes)['quality']}, features array<double>")
-    rows = rows.orderBy("doc_id", "quality", "features").limit(2 * max_labelled).collect()
+    # Of a doc_id that many rows repeat two texts at most come here, so the sample of labels bounds all rows.
+    described = chosen.mapInArrow(describe, f"doc_id {dict(chosen.dtypes)['doc_id']}, quality {dict(chosen.dtypes)['quality']}, features array<double>")
+    texts = F.array_distinct(F.array(F.min("features"), F.max("features")))
+    kept = described.groupBy("doc_id", "quality").agg(texts.alias("texts")).select("doc_id", "quality", F.explode("texts").alias("features"))
+    rows = kept.orderBy("doc_id", "quality", "features").collect()
     data = np.array([r["features"] for r in rows]) if rows else np.empty((0, len(features(""))))
     good = np.array([r["quality"] for r in rows], dtype=np.int64)
     mean, spread, weights = learn(data, good)

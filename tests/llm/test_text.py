@@ -418,6 +418,20 @@ def test_the_cut_is_a_quantile_of_all_rows(spark, limit):
     assert sum(1 - scored[i] for i in free) == pytest.approx(share * len(free), abs=1)
 
 
+def test_a_hot_doc_id_leaves_the_other_labels_in_the_fit(spark):
+    texts = graded(60, seed=10)
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(i, int(texts[i][1] > 0.5)) for i in ids] + [(ids[0], 1)] * 300, "doc_id long, quality int")
+    plain = [(i, texts[i][0]) for i in ids]
+    # The smallest labelled doc_id is held by far more rows than the fit takes: copies, or different texts.
+    for others in ([plain[0]] * 400, [(ids[0], f"{plain[0][1]} {'x' * k}") for k in range(400)]):
+        docs = spark.createDataFrame(plain + others, "doc_id long, text string").repartition(3)
+        model = quality.fit(docs, labels, max_labelled=80)
+        scores = {r.doc_id: r.score for r in quality.score_quality(docs, model).collect()}
+        good, bad = ([scores[i] for i in ids[1:] if (texts[i][1] > 0.5) == g] for g in (True, False))
+        assert model.weights.any() and np.mean(good) > np.mean(bad) + 0.05
+
+
 def test_quality_without_both_labels(spark):
     docs = spark.createDataFrame([(1, "a text"), (2, None)], "doc_id long, text string")
     for given_ in ([], [(1, 1), (2, 1)]):
