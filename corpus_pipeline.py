@@ -41,13 +41,26 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (``NEAR_PERCENT``), the one with the smallest doc_id.
+    """One row of each group of near duplicates (``NEAR_PERCENT``), that with the smallest doc_id.
 
-    Rows without a doc_id cannot be named and stay.
+    Every row is a document here, also one without a doc_id (kept only if its whole group has
+    none) or with a doc_id that other rows hold.  Rows without shingles are no one's copies and stay.
     """
-    group, kept = unused_name(docs, "gone_id"), near_dedup.near_dedup(docs, percent=NEAR_PERCENT)
-    gone = kept.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(group)).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col(group), "left_anti")
+    key = unused_name(docs, "row_key")
+    named = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    # Rows that repeat doc_id and text share a key.
+    found = near_dedup.near_dedup(named.select(F.col(key).alias("doc_id"), "text"), percent=NEAR_PERCENT)
+    nodes = found.filter("n_shingles > 0").groupBy(F.col("doc_id").alias("node")).agg(F.first("component_id").alias("group"), F.count("*").alias("copies"))
+    nodes = nodes.join(named.select(F.col(key).alias("node"), F.col("doc_id").alias("name")).distinct(), "node")
+    nodes = materialise(nodes, "near-nodes")
+    order = F.struct(F.col("name").isNull().alias("nameless"), "name", "node")
+    best = nodes.groupBy("group").agg(F.min(order).alias("best"), F.count("*").alias("members")).filter("members > 1")
+    best = materialise(best.select("group", F.col("best.node").alias("stays")), "near-best")
+    gone = materialise(nodes.join(best, "group").filter("node <> stays").select(F.col("node").alias(key)), "near-gone")
+    repeated = materialise(nodes.filter("copies > 1").select(F.col("node").alias(key)), "near-repeated")
+    kept = named.join(gone, key, "left_anti")
+    once = kept.join(repeated, key, "left_anti").unionByName(kept.join(repeated, key, "left_semi").dropDuplicates([key]))
+    return once.select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

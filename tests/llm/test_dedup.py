@@ -201,6 +201,23 @@ def test_the_stage_keeps_one_of_all_pairs_at_80_percent(spark):
     assert {r.doc_id for r in kept.collect()} == set(want.values()) < set(plain_near(rows, 85).values())
 
 
+def test_the_stage_keeps_one_row_of_repeated_and_nameless_ones(spark):
+    random.seed(4)
+    one, two, three, four = (" ".join(random.choices([f"w{i}" for i in range(500)], k=80)) for _ in range(4))
+    rows = [
+        (1, one), (1, one), (1, one), (7, one + " end"), (None, one), (None, one + " tail"),
+        # The id of a near copy also names a text of its own, and one doc_id names near versions.
+        (7, two), (8, three), (8, three + " more"),
+        (None, four), (None, four), (None, four + " on"),
+        (9, None), (9, None), (None, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, f"row {k}") for k, (i, t) in enumerate(rows)], "doc_id long, text string, row_key string").repartition(4)
+    kept = corpus_pipeline.keep_one_of_near(spark, docs, "")
+    assert kept.columns == docs.columns
+    left = [(r.doc_id, next((k for k, t in enumerate((one, two, three, four)) if (r.text or "").startswith(t)), None)) for r in kept.collect()]
+    assert sorted(left, key=str) == sorted([(1, 0), (7, 1), (8, 2), (None, 3), (9, None), (9, None), (None, None)], key=str)
+
+
 @pytest.mark.parametrize("percent, least", [(50, 2), (80, 12), (85, 14), (100, 32)])
 def test_shared_values_follow_from_the_chance_of_a_miss(percent, least):
     def missed(k):
