@@ -35,6 +35,8 @@ BLOCK_BITS = 512
 END_ID = 1
 # A file is closed once it holds this many tokens; a longer document makes a longer file.
 TOKENS_PER_FILE = 4_000_000
+# Tasks that read files back, at most; each opens its files one after the other.
+READ_TASKS = 20_000
 
 MANIFEST = "part int, number int, name string, n_docs long, n_tokens long"
 DECODED = "name string, position long, doc_id long, local_start long, n_tokens long, ids_crc32 long"
@@ -122,13 +124,23 @@ class TokenFile:
             yield doc_id, start, values[start:end]
 
 
+def _store(folder: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+
+
 def _write(folder: str, name: str, content: bytes) -> None:
-    store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    store, root = _store(folder)
     store.create_dir(root, recursive=True)
     with store.open_output_stream(f"{root}/{name}") as out:
         out.write(content)
 
 
+def _read(folder: str, name: str) -> pa.Buffer:
+    store, root = _store(folder)
+    with store.open_input_file(f"{root}/{name}") as file:
+        return file.read_buffer()
+
+
 def write_token_files(
     docs: DataFrame,
     folder: str,
@@ -169,7 +181,9 @@ def write_token_files(
         if names:
             yield close()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # Equal doc_ids, NULL among them, are spread by their text, so none fills a range.
+    spread = F.xxhash64("text")
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", spread).sortWithinPartitions("doc_id", spread)
     return materialise(ordered.mapInArrow(encode, MANIFEST), "token-manifest")
 
 
@@ -191,15 +205,13 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, rows=1):
             name = batch.column(0)[0].as_py()
-            found = [(p, d, s, len(v), zlib.crc32(v.astype("<u4").tobytes())) for p, (d, s, v) in enumerate(TokenFile(batch.column(1)[0].as_py()).documents())]
+            found = [(p, d, s, len(v), zlib.crc32(v.astype("<u4").tobytes())) for p, (d, s, v) in enumerate(TokenFile(_read(folder, name)).documents())]
             columns = list(zip(*found)) or [[]] * 5
             yield pa.record_batch([pa.array([name] * len(found), pa.string())] + [pa.array(c, pa.int64()) for c in columns], ["name", "position", "doc_id", "local_start", "n_tokens", "ids_crc32"])
 
-    if manifest.isEmpty():
-        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long, file string")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder)
-    contents = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    documents = contents.join(manifest.select("name"), "name", "left_semi").mapInArrow(decode, DECODED)
+    # Only names travel: a task opens the files of its rows itself.
+    tasks = min(max(manifest.count(), 1), READ_TASKS)
+    documents = manifest.select("name").repartition(tasks, "name").mapInArrow(decode, DECODED)
     return documents.join(file_starts(manifest).select("name", "start"), "name").select(
         "doc_id", (F.col("start") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32", F.col("name").alias("file")
     )

@@ -65,13 +65,15 @@ class _Known(dict):
 
 
 class WordEncoder:
-    """Ids as little-endian unsigned 32-bit bytes.  Special tokens' strings are ordinary text."""
+    """Ids as little-endian unsigned 32-bit bytes, those of a plain call without added special tokens.
+
+    Strings of special tokens inside a text become those tokens, as they do in such a call.
+    """
 
     def __init__(self, path: str, memory: int = WORD_MEMORY):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         self._memory = memory
         self._known = _Known(self._tokenizer)
 
