@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratafold.operators.joins import broadcast_if_small
 from stratafold.workspace import materialise
 
 # The fields a 304 response sends to update a stored one.
@@ -23,6 +24,9 @@ TRACKING = "^(utm_[a-z_]*|gclid|fbclid|ref)(=|$)"
 
 _URL = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#\s]*)([^?#\s]*)(?:\?([^#\s]*))?"
 
+# Of parsed records, those that are full responses.
+FULL = "record_type = 'response' AND status = 200 AND record_id IS NOT NULL"
+
 RESOLVED, CHANGED, UNVERIFIED, MISSING = "resolved", "changed", "unverified", "missing"
 
 
@@ -101,6 +105,24 @@ def _latest_before(records: DataFrame) -> DataFrame:
     return seen.join(carried, ["range", "url"]).withColumn("old", F.coalesce("seen", "carried"))
 
 
+def _bodies(kept: DataFrame, parsed: DataFrame) -> DataFrame:
+    """(response_id, block) of the responses, one row each: of one that is there again the smallest full one.
+
+    Which ones those are is known from the narrow rows, so all others go straight to the join
+    with the revisits, where adaptive execution can split the revisits of one response.
+    """
+    ids = parsed.filter("record_type = 'response' AND record_id IS NOT NULL").groupBy(F.col("record_id").alias("response_id")).agg(F.count("*").alias("rows"))
+    again = materialise(ids.filter("rows > 1").select("response_id"), "warc-again")
+    responses = kept.filter((F.col("record_type") == "response") & F.col("record_id").isNotNull())
+    responses = responses.select(F.col("record_id").alias("response_id"), "block")
+    if again.isEmpty():
+        return responses
+    status = parse_http(F.col("block"))["status"]
+    repeated = responses.join(broadcast_if_small(again), "response_id", "left_semi").filter(status == 200)
+    smallest = repeated.groupBy("response_id").agg(F.min("block").alias("block"))
+    return responses.join(broadcast_if_small(again), "response_id", "left_anti").unionByName(smallest)
+
+
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """One row per revisit: record_id, outcome, response_id, headers, body.
 
@@ -110,7 +132,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     earlier full response); only resolved ones have headers and body.  Earlier means a
     smaller date; of responses at one time the largest record_id counts.  Without uri or
     date a revisit is missing and a response is never used.  record_id names a record:
-    repeated revisits give repeated rows, repeated responses count once.
+    repeated revisits give repeated rows, repeated responses count once, with their smallest block.
     """
     kept = records.filter(F.col("record_type").isin("response", "revisit"))
     # Written without bodies: the ranges below are cut from narrow rows, and blocks are parsed once.
@@ -120,9 +142,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         ),
         "warc-headers",
     )
-    full = (F.col("record_type") == "response") & (F.col("status") == 200) & F.col("record_id").isNotNull()
     placed = F.col("uri").isNotNull() & F.col("date").isNotNull()
-    narrow = parsed.filter(placed & (full | (F.col("record_type") == "revisit"))).select(
+    narrow = parsed.filter(placed & (F.expr(FULL) | (F.col("record_type") == "revisit"))).select(
         canonical_url(F.col("uri")).alias("url"),
         "date",
         (F.col("record_type") == "response").alias("is_response"),
@@ -140,11 +161,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         ),
         "warc-outcomes",
     )
-    # Only resolved revisits look for a body; a response that is there twice counts once.
-    stored = kept.filter(F.col("record_type") == "response").groupBy(F.col("record_id").alias("response_id")).agg(F.first("block").alias("block"))
     resolved = (
         found.filter(F.col("outcome") == RESOLVED)
-        .join(stored, "response_id")
+        .join(_bodies(kept, parsed), "response_id")
         .withColumn("http", parse_http(F.col("block")))
         .select(
             "record_id",
