@@ -33,9 +33,32 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def _without(lines: Column, gone_at: Column) -> Column:
+    """The lines at other positions than those given, in order."""
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone_at)
+    return F.transform(places, lambda i: F.get(lines, i))
+
+
+def drop_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
+    """``docs`` without boilerplate lines and without documents that had nothing else.
+
+    As ``drop_spread_lines``, but without its count: a document that lost lines and has only white
+    space left goes, and a column ``n_chars`` follows the text.
+    """
+    cleaned = drop_spread_lines(docs, sites)
+    removed = F.col(cleaned.columns[-1])
+    kept = cleaned.filter((removed == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        kept = kept.withColumn("n_chars", F.when(removed > 0, length).otherwise(F.col("n_chars")))
+    return kept.select(docs.columns)
+
+
 def line_table(docs: DataFrame) -> DataFrame:
     """One narrow row per line that is not blank: where it is, its site, and 96 bits of hash."""
-    placed = docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"), F.posexplode(_lines(F.col("text"))).alias("position", "line"))
+    # The hash of the text comes before the lines do: beside them it would be computed for each.
+    keyed = docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"), "text")
+    placed = keyed.select("doc_id", "source", "text_key", F.posexplode(_lines(F.col("text"))).alias("position", "line"))
     plain = F.trim(F.col("line"))
     return (
         placed.filter(F.length(plain) > 0)
@@ -89,7 +112,8 @@ def drop_spread_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
     # Most documents have such a line, so this table grows with the corpus: a shuffled join at every size.
     gone = materialise(gone, "dedup-gone").hint("merge")
     match = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_key"])
-    left = F.filter(_lines(docs["text"]), lambda line, i: ~F.array_contains(gone["gone_at"], i))
+    # The array of one element makes a variable of the lines; what is left is found by hash, in one pass.
+    left = F.transform(F.array(_lines(docs["text"])), lambda lines: _without(lines, gone["gone_at"]))[0]
     text = F.when(gone["gone_at"].isNull(), docs["text"]).otherwise(F.array_join(left, "\n")).alias("text")
     columns = [text if c == "text" else docs[c] for c in docs.columns]
     return docs.join(gone, match, "left").select(*columns, F.coalesce(F.size(gone["gone_at"]), F.lit(0)).cast("long").alias(name))
