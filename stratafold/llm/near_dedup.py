@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratafold.llm.graph import components
-from stratafold.llm.rows import slices
+from stratafold.llm.rows import slices, unused_name
 from stratafold.operators.joins import broadcast_if_small
 from stratafold.workspace import materialise
 
@@ -140,13 +140,16 @@ def _full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose estimate on the union's sketch does not rule a link out."""
+    """Pairs (a, b) whose estimate on the union's sketch does not rule a link out; some may repeat.
+
+    Nothing here needs the rows of a key together but the joins, so a hot one's can be split.
+    """
     left = classes.select(F.col("class_id").alias("a"), F.col("hashes").alias("left"))
     right = classes.select(F.col("class_id").alias("b"), F.col("hashes").alias("right"))
     union = F.slice(F.array_sort(F.array_union("left", "right")), 1, SKETCH)
     common = F.size(F.array_intersect(F.array_intersect("left", "right"), union))
     enough = F.least(F.lit(least_shared(percent)), F.ceil(F.size(union) * percent / 100))
-    return pairs.join(left, "a").join(right, "b").filter(common >= enough).select("a", "b").distinct()
+    return pairs.join(left, "a").join(right, "b").filter(common >= enough).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -316,8 +319,8 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     heads = lists.groupBy("value").agg(F.min("class_id").alias("b"), F.count("*").alias("members")).filter("members > 1")
     heads = materialise(heads, "near-heads")
     stars = lists.join(heads, "value").select(F.col("class_id").alias("a"), "b").filter("a <> b").distinct()
-    pairs = materialise(_estimated(stars, classes, percent), "near-pairs")
-    first = _confirmed(pairs, docs, words, percent)
+    pairs = materialise(_estimated(materialise(stars, "near-stars"), classes, percent), "near-pairs")
+    first = _confirmed(materialise(pairs.distinct(), "near-pairs"), docs, words, percent)
     # Rows of one doc_id with different sets are one node, whichever set a class is named by.
     same = described.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(
         classes.select("set_key", "class_id"), "set_key"
@@ -337,3 +340,23 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
         F.coalesce("component", "doc_id").alias("component_id"),
         F.col("doc_id").eqNullSafe(F.coalesce("component", "doc_id")).alias("kept"),
     )
+
+
+def keep_one_of_near(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, that with the smallest doc_id.
+
+    Every row is a document of its own here, also one without a doc_id (kept only if its whole
+    group has none) or with a doc_id that other rows hold.  Rows without shingles are no one's
+    copies and stay.  Needs columns ``doc_id`` and ``text``; all columns are kept.  The rows are
+    numbered and written once, so that no two of them can be taken for one.
+    """
+    number = unused_name(docs, "row_number")
+    numbered = materialise(docs.withColumn(number, F.monotonically_increasing_id()), "near-numbered")
+    found = near_dedup(numbered.select(F.col(number).alias("doc_id"), "text"), words, percent)
+    groups = found.filter("n_shingles > 0").select(F.col("doc_id").alias(number), F.col("component_id").alias("near_group"))
+    groups = materialise(groups.join(numbered.select(number, F.col("doc_id").alias("near_name")), number), "near-groups")
+    order = F.struct(F.col("near_name").isNull(), "near_name", number)
+    best = groups.groupBy("near_group").agg(F.min(order)[number].alias("stays"), F.count("*").alias("members"))
+    best = materialise(best.filter("members > 1").select("near_group", "stays"), "near-best")
+    gone = materialise(groups.join(best, "near_group").filter(F.col(number) != F.col("stays")).select(number), "near-gone")
+    return numbered.join(broadcast_if_small(gone), number, "left_anti").select(docs.columns)
