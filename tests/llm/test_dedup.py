@@ -9,8 +9,8 @@ import pytest
 
 import corpus_pipeline
 from stratafold.llm.exact_dedup import exact_dedup
-from stratafold.llm.graph import components
-from stratafold.llm.line_dedup import drop_spread_lines, line_table, spread_lines
+from stratafold.llm.graph import _contracted, components
+from stratafold.llm.line_dedup import drop_boilerplate, drop_spread_lines, line_table, spread_lines
 from stratafold.llm import near_dedup as near
 from tests.conftest import plan_of
 from tests.llm.conftest import ROWS
@@ -258,3 +258,47 @@ def test_components_of_chains_and_repeats(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 102}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_components_take_few_rounds_on_shuffled_paths(spark):
+    nodes = list(range(10_000))
+    random.seed(2)
+    random.shuffle(nodes)
+    links = spark.createDataFrame(list(zip(nodes, nodes[1:])), "node long, near long")
+    both = links.unionByName(links.select(links.near.alias("node"), links.node.alias("near")))
+    assert len(_contracted(both)) < 30
+    got = components(links.toDF("a", "b")).collect()
+    assert len(got) == len(nodes) and {r.component for r in got} == {0}
+
+
+def test_components_equal_a_plain_search(spark):
+    random.seed(3)
+    links = [(random.randrange(400), random.randrange(400)) for _ in range(260)] + [(0, i) for i in range(300, 360)]
+    root = {n: n for link in links for n in link}
+    for _ in root:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == root
+
+
+def test_a_document_of_boilerplate_alone_goes(spark):
+    rows = [(i, "boiler one\n\nboiler two\n", f"site {i}") for i in range(6)]
+    rows += [(6, "boiler one\nmine", "site 1"), (7, None, "site 1"), (8, " \n", "site 2"), (9, "\tboiler one\n\r", "site 3")]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: r.text for r in drop_boilerplate(docs).collect()}
+    assert got == {0: "boiler one\n\nboiler two\n", 6: "mine", 7: None, 8: " \n", 9: "\tboiler one\n\r"}
+
+
+def test_very_many_lines_of_one_text(spark):
+    lines = [f"line {i}" for i in range(150_000)]
+    docs = spark.createDataFrame([(i, "\n".join(lines + [f"own {i}"]), f"site {i}") for i in range(5)], DOCS)
+    left = {r.doc_id: r.text for r in drop_spread_lines(docs).collect()}
+    assert left[0].count("\n") == 150_000 and all(left[i] == f"own {i}" for i in range(1, 5))
+
+
+def test_one_row_of_each_group_stays(spark, odd):
+    rows = near.keep_one_of_near(odd("row_number"), percent=80)
+    assert rows.columns == ["doc_id", "text", "source", "row_number"]
+    assert sorted((r.doc_id for r in rows.collect()), key=str) == sorted([1, 4, 5, 6, 7, 9, None], key=str)
+    assert near.keep_one_of_near(odd().limit(0)).collect() == []

@@ -26,7 +26,6 @@ def whole_text_ids(text):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -37,6 +36,12 @@ def test_words_give_the_ids_of_the_whole_text(text):
     assert np.frombuffer(WordEncoder.of(TOKENIZER).encode(text), "<u4").tolist() == whole_text_ids(text)
 
 
+def test_special_strings_give_special_ids():
+    assert whole_text_ids("a <|endoftext|> b") == [320, 49407, 321]
+    for text in ("a <|endoftext|> b", "x<|startoftext|>y <|endoftext|>", "<|endoftext|><|endoftext|>\n."):
+        assert np.frombuffer(WordEncoder.of(TOKENIZER).encode(text), "<u4").tolist() == whole_text_ids(text)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.one_of(st.integers(0, 255), st.integers(0, 2**32 - 1)), max_size=40), max_size=8))
 def test_a_file_gives_any_token_and_all(docs):
