@@ -11,11 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stratafold.llm import decontaminate, line_dedup, near_dedup, packing, quality
 from stratafold.llm.queries import TOKENIZER
-from stratafold.llm.rows import read_table, unused_name
+from stratafold.llm.rows import read_table
 from stratafold.workspace import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -31,36 +30,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without boilerplate lines; one that had nothing else goes.  ``n_chars`` is kept true."""
-    cleaned = line_dedup.drop_spread_lines(docs)
-    removed = cleaned.columns[-1]
-    kept = cleaned.filter((F.col(removed) == 0) | (F.length(F.trim("text")) > 0))
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        kept = kept.withColumn("n_chars", F.when(F.col(removed) > 0, length).otherwise(F.col("n_chars")))
-    return kept.select(docs.columns)
+    return line_dedup.drop_boilerplate(docs)
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates (``NEAR_PERCENT``), that with the smallest doc_id.
-
-    Every row is a document here, also one without a doc_id (kept only if its whole group has
-    none) or with a doc_id that other rows hold.  Rows without shingles are no one's copies and stay.
-    """
-    key = unused_name(docs, "row_key")
-    named = docs.withColumn(key, F.xxhash64("doc_id", "text"))
-    # Rows that repeat doc_id and text share a key.
-    found = near_dedup.near_dedup(named.select(F.col(key).alias("doc_id"), "text"), percent=NEAR_PERCENT)
-    nodes = found.filter("n_shingles > 0").groupBy(F.col("doc_id").alias("node")).agg(F.first("component_id").alias("group"), F.count("*").alias("copies"))
-    nodes = nodes.join(named.select(F.col(key).alias("node"), F.col("doc_id").alias("name")).distinct(), "node")
-    nodes = materialise(nodes, "near-nodes")
-    order = F.struct(F.col("name").isNull().alias("nameless"), "name", "node")
-    best = nodes.groupBy("group").agg(F.min(order).alias("best"), F.count("*").alias("members")).filter("members > 1")
-    best = materialise(best.select("group", F.col("best.node").alias("stays")), "near-best")
-    gone = materialise(nodes.join(best, "group").filter("node <> stays").select(F.col("node").alias(key)), "near-gone")
-    repeated = materialise(nodes.filter("copies > 1").select(F.col("node").alias(key)), "near-repeated")
-    kept = named.join(gone, key, "left_anti")
-    once = kept.join(repeated, key, "left_anti").unionByName(kept.join(repeated, key, "left_semi").dropDuplicates([key]))
-    return once.select(docs.columns)
+    """One row of each group of near duplicates (``NEAR_PERCENT``), that with the smallest doc_id."""
+    return near_dedup.keep_one_of_near(docs, percent=NEAR_PERCENT)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
