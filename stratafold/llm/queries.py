@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratafold.llm import chat, decontaminate, exact_dedup, licenses, line_dedup, near_dedup, packing, quality, token_files, warc
+from stratafold.llm import chat, decontaminate, exact_dedup, licenses, line_dedup, near_dedup, packing, periodic, quality, token_files, warc
 from stratafold.llm.rows import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,12 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.benchmark_hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs in all documents, a tenth of which are made periodic from some word on."""
+    docs = periodic.with_periodic_tails(read_table(spark, sf_dir, "documents"))
+    return periodic.runs_digest(periodic.periodic_runs(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_chat_formatting": op2_chat_formatting,
@@ -76,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
