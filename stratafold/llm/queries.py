@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratafold.llm import chat, decontaminate, exact_dedup, licenses, line_dedup, near_dedup, packing, periodic, quality, token_files, warc
+from stratafold.llm import chat, decontaminate, exact_dedup, lexical, licenses, line_dedup, near_dedup, packing, periodic, quality, token_files, warc
 from stratafold.llm.rows import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.runs_digest(periodic.periodic_runs(docs))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_chat_formatting": op2_chat_formatting,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -91,4 +96,5 @@ ORACLES: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.SQL,
     "op6_warc_revisits": warc.SQL,
     "op7_license_scan": licenses.SQL,
+    "op12_ranked_search": lexical.SQL,
 }
