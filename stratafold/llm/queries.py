@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratafold.llm import chat, decontaminate, exact_dedup, lexical, licenses, line_dedup, near_dedup, packing, periodic, quality, token_files, warc
+from stratafold.llm import chat, decontaminate, exact_dedup, lexical, licenses, line_dedup, near_dedup, packing, periodic, pii, quality, token_files, warc
 from stratafold.llm.rows import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(pii.find_pii(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_chat_formatting": op2_chat_formatting,
@@ -88,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_ranked_search": op12_ranked_search,
+    "op13_pii": op13_pii,
 }
 
 ORACLES: dict[str, str] = {

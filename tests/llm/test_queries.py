@@ -19,15 +19,18 @@ from tests.llm.test_text import whole_text_ids
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
-NATIVE = ("op2_chat_formatting", "op5_exact_dedup", "op7_license_scan")
+NATIVE = ("op2_chat_formatting", "op5_exact_dedup", "op7_license_scan", "op13_pii")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, name):
     df = QUERIES[name](spark, SF_DIR)
     assert compare(df, connect(SF_DIR), ORACLES[name]) is None
-    if name in NATIVE:
-        assert not [n for n in ("Python", "Pandas", "Arrow") if n in plan_of(df)]
+
+
+@pytest.mark.parametrize("name", NATIVE)
+def test_native_queries_use_no_python(spark, name):
+    assert not [n for n in ("Python", "Pandas", "Arrow") if n in plan_of(QUERIES[name](spark, SF_DIR))]
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
