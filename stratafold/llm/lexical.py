@@ -28,7 +28,7 @@ from stratafold.workspace import materialise
 TOP = 10
 # UTF-8 bytes of queries that go to the tasks at once.
 BLOCK_BYTES = 200_000
-# Documents of a bucket; the longest vectors of all, as many as a bucket holds, give every query its first bound.
+# Documents of a bucket; about as many of the longest vectors of all give every query its first bound.
 BUCKET = 1_024
 # Share of a query's squared length that its focus coordinates hold.
 FOCUS = 0.5
@@ -183,6 +183,21 @@ def _search(vectors: DataFrame, block: Block, weights: list[np.ndarray], least:
     return vectors.mapInArrow(search, HITS)
 
 
+def _longest(vectors: DataFrame, wanted: int) -> DataFrame:
+    """About ``wanted`` of the longest vectors: all above a limit from a histogram of the norms, thinned by hash where too many.
+
+    Any rows would do, as their scores only give lower bounds; long ones give better ones.
+    """
+    step = F.floor(F.log2("norm") * 8)
+    counts = vectors.filter("norm > 0").groupBy(step.alias("step")).agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect()
+    rows, limit = 0, 0.0
+    for row in counts:
+        rows, limit = rows + row["rows"], 2 ** (row["step"] / 8) / ROOM
+        if rows >= wanted:
+            break
+    return vectors.filter(F.col("norm") >= limit).filter(F.pmod(F.xxhash64("doc_id", "impacts"), F.lit(max(1, rows // wanted))) == 0)
+
+
 def ranked_search(docs: DataFrame, items: DataFrame, top: int = TOP, block_bytes: int = BLOCK_BYTES, bucket: int = BUCKET) -> DataFrame:
     """The ``top`` best documents of each item: item_id, rank (from 1), doc_id, score.
 
@@ -209,9 +224,9 @@ def ranked_search(docs: DataFrame, items: DataFrame, top: int = TOP, block_bytes
         weights = [by_term[terms] * repeats for terms, repeats in block.queries]
         vectors = materialise(_vectors(posted, documents, total), "lexical-vectors")
 
-        longest = vectors.orderBy(F.desc("norm"), "doc_id").limit(bucket)
-        first = _search(longest, block, weights, [1] * len(weights), top, bucket).groupBy("number")
-        bounds = {r["number"]: r["bound"] for r in first.agg(F.min("score").alias("bound"), F.count("*").alias("rows")).collect() if r["rows"] == top}
+        first = _search(_longest(vectors, bucket).sortWithinPartitions(F.desc("norm")), block, weights, [1] * len(weights), top, bucket)
+        place = F.row_number().over(Window.partitionBy("number").orderBy(F.desc("score")))
+        bounds = {r["number"]: r["score"] for r in first.withColumn("place", place).filter(F.col("place") == top).collect()}
         least = [bounds.get(number, 1) for number, _ in block.names]
         # A vector too short for every query is not read again.
         shortest = min(bound / (math.sqrt(float((w.astype(np.float64) ** 2).sum())) * ROOM) if w.any() else math.inf for bound, w in zip(least, weights))
