@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratafold.functions.text import regex_group
+from stratafold.operators.buckets import BucketedTable
 from stratafold.operators.versions import VersionedTable
 from stratafold.operators.writers import in_partitions, overwrite_partitions, replace_table
 from stratafold.sources.files import folder_entries
@@ -74,6 +76,93 @@ def compact_partitions(
     return count
 
 
+def compaction_plan(
+    files: DataFrame,
+    *,
+    partition: str = "partition",
+    path: str = "path",
+    length: str = "length",
+    small_file_bytes: int = SMALL_FILE_BYTES,
+) -> DataFrame:
+    """Which small files make one new file: partition, path, length, bin, bin_files, bin_bytes.
+
+    The small files of a partition are laid end to end, by length, then path, and cut every
+    ``small_file_bytes``.  A file alone in its bin stays, as does every file that is not small.
+    """
+    small = files.filter(F.col(length) < small_file_bytes).select(F.col(partition).alias("partition"), F.col(path).alias("path"), F.col(length).alias("length"))
+    before = Window.partitionBy("partition").orderBy("length", "path").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("length").over(before), F.lit(0))
+    binned = small.withColumn("bin", F.floor(start / small_file_bytes).cast("long"))
+    bins = binned.groupBy("partition", "bin").agg(F.count("*").alias("bin_files"), F.sum("length").alias("bin_bytes"))
+    shared = bins.filter("bin_files > 1").withColumnRenamed("partition", "_p").withColumnRenamed("bin", "_b")
+    match = F.col("partition").eqNullSafe(F.col("_p")) & (F.col("bin") == F.col("_b"))
+    return binned.join(shared, match).select("partition", "path", "length", "bin", "bin_files", "bin_bytes")
+
+
+COMPACTION = "_compaction"
+
+
+def compact_files(
+    table: DataFrame, path: str, by: str, *, small_file_bytes: int = SMALL_FILE_BYTES, max_files: int = 10_000
+) -> int:
+    """Pack the small files that ``compaction_plan`` names and leave all other files alone.
+
+    Returns how many files were replaced, ``max_files`` at most: call it again until it gives 0.
+    New files are written aside; what is to be moved and removed is noted first, so a run
+    that breaks off is completed by the next one (``finish_compaction``).  Readers should not
+    run between: for a moment old and new files are both there.
+    """
+    spark = table.sparkSession
+    finish_compaction(spark, path)
+    files = list_files(spark, path).withColumn("partition", regex_group("path", f"/({by}=[^/]+)/"))
+    plan = materialise(compaction_plan(files, small_file_bytes=small_file_bytes), "compaction")
+    chosen = plan.orderBy("partition", "bin", "path").limit(max_files).select("path").collect()
+    if not chosen:
+        return 0
+    old = [r["path"] for r in chosen]
+    rows = spark.read.schema(table.schema).option("basePath", path).parquet(*old)
+    name = uuid.uuid4().hex
+    staged = f"{path}/{COMPACTION}/{name}"
+    replace_table(rows, staged, [by])
+    new = [r["path"] for r in list_files(spark, staged).select("path").collect()]
+    # A note is there whole or not at all: it gets its name last.
+    notes = [("move", p) for p in new] + [("remove", p) for p in old]
+    written = f"{path}/{COMPACTION}/.{name}"
+    spark.createDataFrame(notes, "step string, path string").coalesce(1).write.parquet(written)
+    _rename(spark, written, f"{path}/{COMPACTION}/{name}.note")
+    finish_compaction(spark, path)
+    return len(old)
+
+
+def finish_compaction(spark: SparkSession, path: str) -> None:
+    """Complete what the notes of a table's compactions say, and forget what was never noted."""
+    root = f"{path}/{COMPACTION}"
+    entries = {e.name for e in folder_entries(spark, root)}
+    for note in sorted(n for n in entries if n.endswith(".note")):
+        staged = f"{root}/{note.removesuffix('.note')}"
+        for row in spark.read.parquet(f"{root}/{note}").orderBy("step", "path").collect():
+            if row["step"] == "move":
+                # <table>/_compaction/<run>/<partition>/<file> goes to <table>/<partition>/<file>.
+                folder, file = row["path"].split("/")[-2:]
+                _rename(spark, row["path"], f"{path}/{folder}/{file}")
+            else:
+                delete_folder(spark, row["path"])
+        delete_folder(spark, staged)
+        delete_folder(spark, f"{root}/{note}")
+    for left in {e.name for e in folder_entries(spark, root)}:
+        delete_folder(spark, f"{root}/{left}")
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a file or folder; one that is not there any more was moved before."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (old, new))
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(source):
+        system.mkdirs(target.getParent())
+        if not system.rename(source, target):
+            raise OSError(f"cannot move {old} to {new}")
+
+
 def expired_versions(
     log: DataFrame,
     as_of: Column | dt.datetime,
@@ -136,14 +225,14 @@ def needs_packing(spark: SparkSession, path: str, small_file_bytes: int = SMALL_
     return not _scattered(_file_counts(list_files(spark, path).groupBy(folder), small_file_bytes), small_file_bytes).isEmpty()
 
 
-def unlisted_folders(table: VersionedTable, as_of: dt.datetime, grace_days: int = ORPHAN_GRACE_DAYS) -> list[str]:
+def unlisted_folders(table: VersionedTable | BucketedTable, as_of: dt.datetime, grace_days: int = ORPHAN_GRACE_DAYS) -> list[str]:
     """Version folders past the grace period that the log does not list, written to the end or not.
 
     One level of folders is listed: there are as many as versions.  A folder is as old as the
     newest of its direct entries, hidden ones and those of a write under way among them.
     """
     spark = table.spark
-    live = {r.name for r in table.log().select("name").collect()}
+    live = table.live_folders()
     limit = (as_of - dt.timedelta(days=grace_days)).timestamp() * 1000
     found = []
     for entry in folder_entries(spark, table.data_path):
@@ -156,7 +245,7 @@ def unlisted_folders(table: VersionedTable, as_of: dt.datetime, grace_days: int
 
 
 def maintain(
-    table: VersionedTable,
+    table: VersionedTable | BucketedTable,
     as_of: dt.datetime,
     *,
     by: Sequence[str] = (),
@@ -167,10 +256,10 @@ def maintain(
 ) -> dict[str, int]:
     """Pack the newest version if its files are scattered, expire old ones, remove unlisted folders.
 
-    A table that needs no packing gets no new version.  Folders are removed one by one
+    A table that needs no packing gets no new version; one in buckets never does, as each merge packs those it writes.  Folders are removed one by one
     from the driver: there are as many as expired or failed versions, not as many as files.
     """
-    packed = int(needs_packing(table.spark, table.newest_path(), small_file_bytes))
+    packed = int(isinstance(table, VersionedTable) and needs_packing(table.spark, table.newest_path(), small_file_bytes))
     if packed:
         newest = table.read()
         table.publish(newest if by else newest.hint("rebalance"), as_of, by=by)
@@ -183,7 +272,7 @@ def maintain(
     return {"packed": packed, "expired": expired, "removed": len(removed)}
 
 
-def sweep(tables: Iterable[VersionedTable], as_of: dt.datetime, **options) -> dict[str, dict[str, int]]:
+def sweep(tables: Iterable[VersionedTable | BucketedTable], as_of: dt.datetime, **options) -> dict[str, dict[str, int]]:
     """Maintain each table; one that was never written is skipped."""
     done = {}
     for table in tables:

@@ -8,6 +8,7 @@ a new version (``operators.versions``) or over the partitions it touched
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Callable, Sequence
 from typing import Literal
 
@@ -73,7 +74,7 @@ def merge_table(
         now = now.cast(target.schema[stamped].dataType)
 
     left = target.withColumn("_t", F.lit(True))
-    right = source if source_is_unique else _fail_on_duplicates(source, keys)
+    right = source if source_is_unique else refuse_repeated_keys(source, keys)
     right = right.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_s"))
     match = _all([F.col(k) == F.col(f"_s_{k}") for k in keys])
     joined = left.join(right, match, "full_outer")
@@ -125,7 +126,7 @@ def _any(conditions: Sequence[Column]) -> Column:
     return result
 
 
-def _fail_on_duplicates(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def refuse_repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``source`` unchanged, or an error in its tasks if a key repeats or is NULL.
 
     NULL keys are refused before the shuffle, and at most two rows of a key
@@ -220,7 +221,7 @@ def merge_changed_buckets(
     deactivates = merge_options.get("on_missing", "keep") == "deactivate"
     always = merge_options.get("touch", "changed") == "always"
     if not merge_options.get("source_is_unique"):
-        source = _fail_on_duplicates(source, keys)
+        source = refuse_repeated_keys(source, keys)
         merge_options = {**merge_options, "source_is_unique": True}
 
     was_active = F.coalesce(F.col(active), F.lit(False)) if active else F.lit(True)
@@ -254,7 +255,7 @@ def merge_newer(
     """
     fresh = increment(source, changed_at, high_watermark(target, changed_at), inclusive=inclusive)
     if target is None:
-        return _fail_on_duplicates(fresh, keys)
+        return refuse_repeated_keys(fresh, keys)
     columns = [c for c in source.columns if c not in keys]
     return merge_table(
         target, fresh, keys=keys, update=columns, active=None, stamped=None, evolve=True
@@ -282,8 +283,11 @@ def assert_not_shrinking(source: DataFrame, target: DataFrame | None, active: st
     if target is None:
         return
     row = shrink_report(source, target, active).first()
-    if not row.passed:
-        raise SourceShrinkError(
-            f"source has {row.current_rows} rows, {row.previous_active} were active before; "
-            f"at least {row.threshold} are needed"
-        )
+    assert_enough_rows(row.current_rows, row.previous_active)
+
+
+def assert_enough_rows(current: int, previous_active: int) -> None:
+    """The same on counts that are known already."""
+    threshold = math.floor(previous_active * (1 - MAX_SHRINK))
+    if previous_active and current < threshold:
+        raise SourceShrinkError(f"source has {current} rows, {previous_active} were active before; at least {threshold} are needed")

@@ -110,6 +110,10 @@ class VersionedTable:
         published = scan_table(self.spark, self.log_path, LOG_SCHEMA)
         return None if published is None else published.agg(F.max("batch")).first()[0]
 
+    def live_folders(self) -> set[str]:
+        """Names of the folders of live versions."""
+        return {r["name"] for r in self.log().select("name").collect()}
+
     def newest_path(self) -> str | None:
         """Where the newest published version lies."""
         newest = self._newest()

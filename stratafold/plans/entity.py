@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from stratafold.functions.temporal import logical_timestamp, stamp
 from stratafold.functions.text import null_to_sentinel, strip_accents
 from stratafold.operators.dedup import latest_per_key
-from stratafold.operators.merge import assert_not_shrinking, merge_table
+from stratafold.operators.buckets import BUCKETS, BucketedTable
+from stratafold.operators.merge import assert_enough_rows
 from stratafold.operators.quality import bundled_suite, materialise_with_summary, run_suite
 from stratafold.operators.quarantine import (
     CORRUPT_DOCUMENT,
@@ -21,7 +22,6 @@ from stratafold.operators.quarantine import (
     split_invalid,
     write_quarantine,
 )
-from stratafold.operators.versions import VersionedTable
 from stratafold.operators.writers import overwrite_partitions
 from stratafold.plans import contracts as c
 from stratafold.sources.files import CORRUPT_COLUMN, partition, scan_json, scan_table
@@ -29,9 +29,6 @@ from stratafold.workspace import cleans_up, materialise
 
 logger = logging.getLogger(__name__)
 
-STATE_FOLDER = "state_folder"
-
-
 def with_ingest_columns(df: DataFrame, run_date: str, as_of: dt.datetime | None) -> DataFrame:
     return df.withColumns(
         {
@@ -78,8 +75,9 @@ def clean_entities(good: DataFrame) -> DataFrame:
     return latest_per_key(cleaned, ["id"], "ingested_at", c.ENTITY_ATTRIBUTES)
 
 
-def silver_table(spark: SparkSession, root: str) -> VersionedTable:
-    return VersionedTable(spark, root, c.ENTITY_SILVER)
+def silver_table(spark: SparkSession, root: str, buckets: int = BUCKETS) -> BucketedTable:
+    """The current state, in buckets by id; ``buckets`` counts when the first version is written."""
+    return BucketedTable(spark, root, c.ENTITY_SILVER, ("id",), buckets)
 
 
 @cleans_up
@@ -91,12 +89,13 @@ def transform_snapshot(
     run_date: str,
     as_of: dt.datetime | None = None,
     touch: str = "changed",
+    buckets: int = BUCKETS,
 ) -> bool:
-    """Merge one day's snapshot into the current state; False if nothing was merged.
+    """Merge one day's snapshot into the current state; False if there was nothing to merge.
 
     Entities missing from the snapshot become inactive, unless the snapshot is
-    so small that it is likely partial.  The merged table is checked before it
-    is published.
+    so small that it is likely partial.  Only key buckets in which something changes
+    are read and written; their rows are checked before the new version is published.
     """
     as_of = as_of or dt.datetime.now()
     history = scan_table(spark, bronze, c.ENTITY_BRONZE)
@@ -112,22 +111,17 @@ def transform_snapshot(
     if rows == invalid:
         return False
 
-    source, _ = materialise_with_summary(clean_entities(good), "entity-source", "silver", ["id", *c.ENTITY_ATTRIBUTES])
-    table = silver_table(spark, silver_root)
-    current = table.read()
-    assert_not_shrinking(source, current)
-    target = spark.createDataFrame([], c.ENTITY_SILVER) if current is None else current
-    merged = merge_table(
-        target,
+    source, counted = materialise_with_summary(clean_entities(good), "entity-source", "silver", ["id", *c.ENTITY_ATTRIBUTES])
+    table = silver_table(spark, silver_root, buckets)
+    assert_enough_rows(counted["row_count"], table.active_rows())
+    rewritten = table.merge(
         source,
-        keys=["id"],
         update=c.ENTITY_ATTRIBUTES,
         as_of=as_of,
         on_missing="deactivate",
         touch=touch,
         source_is_unique=True,
+        audit=lambda staged: run_suite(staged, bundled_suite("entity_silver")),
     )
-    # Folders cannot hold an empty state, so they have a column of their own.
-    foldered = merged.withColumn(STATE_FOLDER, F.nullif(F.col("state"), F.lit("")))
-    table.publish(foldered, as_of, by=[STATE_FOLDER], audit=lambda staged: run_suite(staged, bundled_suite("entity_silver")))
+    logger.info("%d buckets rewritten", rewritten)
     return True

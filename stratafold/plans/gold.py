@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from stratafold.operators.merge import merge_newer
+from stratafold.operators.buckets import BucketedTable
+from stratafold.operators.incremental import high_watermark, increment
 from stratafold.operators.quality import Reference, Rule, run_suite
 from stratafold.operators.scd2 import VALID_FROM, VALID_TO, apply_changes, closed_versions, open_versions
 from stratafold.operators.star import build_fact, canonical_dimension, coverage_mart, describe_dimension
@@ -61,6 +62,27 @@ def mart(fact_table: DataFrame, locations: DataFrame, rank_within: Sequence[str]
     )
 
 
+def fact_table(spark: SparkSession, root: str, silver: DataFrame) -> BucketedTable:
+    """The fact, in buckets by its key."""
+    return BucketedTable(spark, f"{root}/fact", fact(silver).schema, ("brewery_key",), active=None, stamped=None)
+
+
+def merge_facts(table: BucketedTable, rows: DataFrame, as_of: dt.datetime, references: dict[str, Reference]) -> DataFrame:
+    """Upsert the rows newer than the fact's newest and return the fact.
+
+    Only buckets that such a row falls in are read, checked and written.
+    """
+    fresh = materialise(increment(rows, "updated_at", high_watermark(table.read(), "updated_at"), inclusive=False), "facts")
+    rules = gold_rules("fact", ["brewery_key"], list(references), list(references))
+    table.merge(
+        fresh,
+        update=[c for c in rows.columns if c not in table.keys],
+        as_of=as_of,
+        audit=lambda staged: run_suite(staged, ("fact", rules), references),
+    )
+    return table.read()
+
+
 def gold_rules(name: str, key: Sequence[str], not_null: Sequence[str] = (), references: Sequence[str] = ()) -> list[Rule]:
     """What a gold table must hold: a unique key without NULLs, further columns without, known parents."""
     rules = [Rule(f"{name}_{'_'.join(key)}_unique", "unique_count", tuple(key))]
@@ -83,30 +105,19 @@ def build_gold(spark: SparkSession, silver: DataFrame, root: str, as_of: dt.date
         ]),
     )
 
-    def publish(
-        name: str,
-        df: DataFrame,
-        key: Sequence[str],
-        not_null: Sequence[str] = (),
-        references: dict[str, Reference] | None = None,
-    ) -> DataFrame:
-        rules = gold_rules(name, key, not_null, list(references or {}))
+    def publish(name: str, df: DataFrame, key: Sequence[str], not_null: Sequence[str] = ()) -> DataFrame:
+        rules = gold_rules(name, key, not_null)
         table = VersionedTable(spark, f"{root}/{name}")
-        return table.publish(df, as_of, audit=lambda staged: run_suite(staged, (name, rules), references))
+        return table.publish(df, as_of, audit=lambda staged: run_suite(staged, (name, rules)))
 
     locations = publish("dim_locations", dim_locations(silver), ["location_key"], ["city", "state", "country"])
     # A type has a description if, and only if, the seed knows it.
     types = publish("dim_types", dim_types(silver, seed), ["brewery_type_key"], ["brewery_type", "brewery_type_description"])
-    previous = VersionedTable(spark, f"{root}/fact").read()
-    facts = publish(
-        "fact",
-        merge_newer(previous, fact(silver), keys=["brewery_key"], changed_at="updated_at"),
-        ["brewery_key"],
-        ["location_key", "brewery_type_key"],
-        {
-            "location_key": Reference(locations, "location_key"),
-            "brewery_type_key": Reference(types, "brewery_type_key"),
-        },
+    facts = merge_facts(
+        fact_table(spark, root, silver),
+        fact(silver),
+        as_of,
+        {"location_key": Reference(locations, "location_key"), "brewery_type_key": Reference(types, "brewery_type_key")},
     )
     counted = [n for n in c.COVERAGE_NAMES.values() if n != c.COVERAGE_NAMES["ratio"]]
     published = publish("mart", mart(facts, locations), c.LOCATION_COLUMNS, counted)
