@@ -10,11 +10,12 @@ from stratafold.functions.temporal import ntz as instant
 from stratafold.functions.text import null_to_sentinel
 from stratafold.operators.dedup import latest_per_key, latest_per_key_agg
 from stratafold.operators.lookup import LookupStep, coverage, lookup_cascade, lookup_left, prepare_lookup
-from stratafold.operators.maintenance import expired_versions, orphan_files, unlisted_folders
+from stratafold.operators.maintenance import compaction_plan, expired_versions, orphan_files, unlisted_folders
 from stratafold.operators.merge import key_bucket, merge_changed_buckets, merge_newer, merge_table, merge_touched_partitions, shrink_report
 from stratafold.operators.quality import evaluate, Rule
 from stratafold.operators.quarantine import NULL_ID, quarantine_rows, split_invalid, write_quarantine
-from stratafold.operators.scd2 import apply_changes, as_of, closed_versions, open_versions, version_intervals
+from stratafold.operators.ranking import dense_rank_cut
+from stratafold.operators.scd2 import apply_changes, as_of, as_of_join, closed_versions, open_versions, version_intervals
 from stratafold.operators.versions import VersionedTable
 from stratafold.operators.writers import replace_table
 from stratafold.workspace import fresh_path, materialise
@@ -380,6 +381,41 @@ def scd2_as_of_query(spark, sf_dir):
     return as_of(history(spark, sf_dir), F.lit(MIDDLE_TS).cast("timestamp_ntz"))
 
 
+@query(
+    "scd2_as_of_join",
+    f"""
+WITH points AS (SELECT event_id AS point_id, user_id, ts + INTERVAL 30 HOUR AS instant FROM events
+                UNION ALL SELECT -event_id, user_id, ts - INTERVAL 30 HOUR FROM events)
+SELECT point_id, user_id, instant, event_id, event_type, value, valid_from, valid_to
+FROM points LEFT JOIN ({HISTORY_SQL}) h USING (user_id)
+WHERE h.event_id IS NULL OR (valid_from <= instant AND (valid_to IS NULL OR valid_to > instant))
+UNION ALL
+SELECT point_id, user_id, instant, NULL, NULL, NULL, NULL, NULL
+FROM points JOIN (SELECT user_id, min(ts) AS first FROM events GROUP BY 1) USING (user_id) WHERE instant < first""",
+)
+def scd2_as_of_join_query(spark, sf_dir):
+    """For every event what was valid for its user thirty hours before and after."""
+    events = user_events(spark, sf_dir)
+    later = F.expr("INTERVAL 30 HOURS")
+    points = events.select(F.col("event_id").alias("point_id"), "user_id", (F.col("ts") + later).alias("instant")).unionByName(
+        events.select((-F.col("event_id")).alias("point_id"), "user_id", (F.col("ts") - later).alias("instant"))
+    )
+    return as_of_join(points, history(spark, sf_dir).drop("ts"), ["user_id"], "instant")
+
+
+@query(
+    "rank_hot_group",
+    """
+SELECT l_orderkey, l_linenumber, l_returnflag,
+       dense_rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC) AS price_rank
+FROM lineitem""",
+)
+def rank_hot_group_query(spark, sf_dir):
+    """Ranks among all lines of a return flag: few groups, each with very many prices."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    return dense_rank_cut(lines, ["l_returnflag"], "l_extendedprice", "price_rank").drop("l_extendedprice")
+
+
 @query(
     "scd2_unique_check",
     f"""
@@ -406,6 +442,28 @@ def snapshot_expiry_query(spark, sf_dir):
     return expired_versions(log, instant(dt.datetime(2024, 2, 10)), version="event_id", published_at="ts")
 
 
+@query(
+    "compaction_plan",
+    """
+WITH files AS (
+  SELECT o_orderpriority AS partition, CAST(o_orderkey AS VARCHAR) AS path, CAST(floor(o_totalprice) AS BIGINT) AS length FROM orders
+), binned AS (
+  SELECT *, CAST(coalesce(sum(length) OVER (PARTITION BY partition ORDER BY length, path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                 // 200000 AS BIGINT) AS bin
+  FROM files WHERE length < 200000
+)
+SELECT *, count(*) OVER (PARTITION BY partition, bin) AS bin_files,
+       CAST(sum(length) OVER (PARTITION BY partition, bin) AS BIGINT) AS bin_bytes
+FROM binned QUALIFY count(*) OVER (PARTITION BY partition, bin) > 1""",
+)
+def compaction_plan_query(spark, sf_dir):
+    """Orders as files: a priority is a partition, a total price a length."""
+    files = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("partition"), F.col("o_orderkey").cast("string").alias("path"), F.floor("o_totalprice").cast("long").alias("length")
+    )
+    return compaction_plan(files, small_file_bytes=200_000)
+
+
 @query("orphan_versions", "SELECT 'crashed' AS name, count(*) AS kept_rows FROM events WHERE ts >= TIMESTAMP '" + MIDDLE_TS + "'")
 def orphan_versions_query(spark, sf_dir):
     """Folders of a versioned table that no log entry names, from the real listing."""
