@@ -13,6 +13,7 @@ from stratafold.functions.temporal import compose_timestamp, logical_timestamp,
 from stratafold.functions.text import strip_accents
 from stratafold.operators.dedup import latest_per_key
 from stratafold.operators.incremental import high_watermark, increment, listed_watermark
+from stratafold.operators.ledger import NO_BATCH, last_batch, record, with_news
 from stratafold.operators.lookup import (
     FROM_HOME_TEAM,
     FROM_VENUE,
@@ -41,10 +42,6 @@ logger = logging.getLogger(__name__)
 
 MONTH = "match_month"
 
-# The number before the first ingest, and that of records that belong to none.
-NO_BATCH = 0
-
-
 @cleans_up
 def land_matches(spark: SparkSession, raw: DataFrame, staging: str, run_date: str) -> None:
     """Flatten raw match documents and land the finished ones, a folder per date.
@@ -86,21 +83,22 @@ def ingest_matches(
         write_quarantine(quarantine_rows(rows, c.MATCH_QUARANTINED, today, as_of), quarantine, replace=True, batch=NO_BATCH)
 
     newest = listed_watermark(spark, bronze, "ingestion_date")
-    last_batch = high_watermark(scan_table(spark, bronze, c.MATCH_BRONZE), "ingest_batch")
+    batch = last_batch(spark, bronze, scan_table(spark, bronze, c.MATCH_BRONZE), "ingest_batch", "ingestion_date") + 1
     fresh = increment(dated, "ingestion_date", newest, full_refresh=full_refresh)
     fresh = fresh.withColumns(
         {
             "ingested_at": stamp(as_of),
             "ingestion_ts": logical_timestamp("ingestion_date"),
-            "ingest_batch": F.lit((last_batch or NO_BATCH) + 1).cast("bigint"),
+            "ingest_batch": F.lit(batch).cast("bigint"),
         }
     )
     staged = materialise(fresh, "match-bronze")
     if staged.isEmpty():
         return False
     run_suite(staged, bundled_suite("match_bronze"))
-    per_date = {r.ingestion_date: r.rows for r in rows_per_date(staged).collect()}
-    logger.info("rows per date: %s", per_date)
+    per_date = rows_per_date(staged)
+    logger.info("rows per date: %s", {r.ingestion_date: r.rows for r in per_date.collect()})
+    record(per_date, bronze, batch, as_of)
     overwrite_partitions(staged.select(*c.MATCH_BRONZE.names), bronze, ["ingestion_date"])
     return True
 
@@ -152,8 +150,8 @@ def transform_matches(
 ) -> bool:
     """Merge bronze rows not yet merged into the current state; False if none.
 
-    Every ingest has a number.  The last number merged is kept in a small table of its
-    own, so a run without news writes nothing, a batch landed while a merge runs is not
+    Every ingest has a number and a note of the dates it brought.  The last number merged is kept in a
+    small table of its own, so only dates with news are read, a run without news opens no bronze file, a batch landed while a merge runs is not
     passed over, and one whose rows are all bad is taken once.  A repeated batch replaces its quarantine records.
     Only months a change falls in are rewritten, after their new rows are checked.
     """
@@ -162,9 +160,10 @@ def transform_matches(
     if landed is None:
         return False
     seen = high_watermark(scan_table(spark, watermarks), "merged_batch")
-    fresh = materialise(
-        increment(landed, "ingest_batch", seen, inclusive=False, full_refresh=full_refresh), "match-fresh"
-    )
+    news = landed if full_refresh else with_news(landed, bronze, "ingest_batch", "ingestion_date", seen)
+    if news is None:
+        return False
+    fresh = materialise(news, "match-fresh")
     newest = high_watermark(fresh, "ingest_batch")
     if newest is None:
         return False

@@ -2,11 +2,13 @@
 
 import datetime as dt
 import json
+import shutil
 from pathlib import Path
 
 import pytest
 
 from stratafold.operators.incremental import listed_watermark
+from stratafold.operators.ledger import FOLDER, recorded
 from stratafold.operators.quality import QualityError
 from stratafold.plans import contracts as c
 from stratafold.plans.matches import ingest_matches, land_matches, read_matches, rows_per_date, transform_matches
@@ -127,6 +129,30 @@ def test_an_idle_run_writes_nothing(feed, spark):
     assert before == {p: p.stat().st_mtime_ns for n in ("silver", "bad", "marks") for p in (feed.root / n).rglob("*")}
 
 
+def test_a_run_without_news_opens_no_bronze_file(feed, spark):
+    feed.land("2026-05-20", match(1, "2026-05-20"))
+    feed.land("2026-05-21", match(2, "2026-05-21"))
+    assert feed.ingest(0) and feed.transform(1)
+    for part in (feed.root / "bronze").rglob("ingestion_date=*/*.parquet"):
+        part.write_bytes(b"not parquet")
+        part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
+    assert feed.transform(2) is False
+    # The newest date is taken in again: its files alone are read, the older date's still cannot be.
+    assert feed.ingest(3) and feed.transform(4) and set(feed.state()) == {"m-1", "m-2"}
+
+
+def test_a_table_from_before_its_ledger_gets_one(feed, spark):
+    feed.land("2026-05-20", match(1, "2026-05-20"))
+    assert feed.ingest(0) and feed.transform(1)
+    shutil.rmtree(feed.root / "bronze" / FOLDER)
+    assert feed.transform(2) is False
+    feed.land("2026-05-21", match(2, "2026-05-21"))
+    assert feed.ingest(3) and feed.transform(4) and set(feed.state()) == {"m-1", "m-2"}
+    assert sorted((r.batch, r.partition, r.rows) for r in recorded(spark, feed.bronze).collect()) == [
+        (1, "2026-05-20", 1), (2, "2026-05-20", 1), (2, "2026-05-21", 1),
+    ]
+
+
 def test_intermediate_tables_go_with_the_run(feed, spark):
     shared = Path(shared_root(spark).removeprefix("file:"))
     before = set(shared.iterdir())
