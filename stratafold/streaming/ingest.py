@@ -75,6 +75,36 @@ def into_partitions(
     return take
 
 
+def stream_distinct(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType | str,
+    out: str,
+    keys: Sequence[str],
+    at: str,
+    *,
+    late: str,
+    checkpoint: str,
+    documents: bool = True,
+    files_per_batch: int | None = None,
+) -> None:
+    """Append all files not seen before to the table ``out``, each key once, then stop.
+
+    Keys seen are kept in the stream's state, in the checkpoint, from run to run: nothing of
+    the table is read or rewritten, and a batch costs what it brings.  A key is kept until its
+    time ``at`` lies ``late`` (an interval such as ``2 days``) behind the newest time seen, so
+    the state is bound by what comes in such an interval; a row that is later than that is
+    dropped, one without a time or with a NULL in a key is kept like any other value.
+    Which of several rows of a key in one batch stays is not said, so they should be equal.
+    """
+    reader = spark.readStream.schema(schema).option("multiLine", documents).option("recursiveFileLookup", True)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    distinct = reader.json(folder).withWatermark(at, late).dropDuplicatesWithinWatermark(list(keys))
+    run = distinct.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+    run.awaitTermination()
+
+
 def stream_files(
     spark: SparkSession,
     folder: str,

@@ -19,7 +19,7 @@ from stratafold.plans.matches import (
     transform_matches,
 )
 from stratafold.sources.payload import PAYLOAD_DDL, finished
-from stratafold.streaming.ingest import into_partitions, into_versions, keep_latest, stream_files
+from stratafold.streaming.ingest import into_partitions, into_versions, keep_latest, stream_distinct, stream_files
 from stratafold.workspace import fresh_path
 from workload.feeds import landed_matches
 from workload.proxies import MATCH_SQL, raw_matches
@@ -263,3 +263,17 @@ def stream_upsert_query(spark, sf_dir):
         spark, f"{base}/landed", schema, take, checkpoint=f"{base}/progress", documents=False, files_per_batch=4
     )
     return spark.read.schema(stored.schema).parquet(f"{base}/state").drop("day")
+
+
+@query("stream_dedup", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def stream_dedup_query(spark, sf_dir):
+    """Event files that are sent twice, the second time after a restart: every event stays once."""
+    base = fresh_path(spark, "stream")
+    schema = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).schema
+    for lot in ("first", "again"):
+        land_events(spark, sf_dir, f"{base}/landed/{lot}")
+        stream_distinct(
+            spark, f"{base}/landed", schema, f"{base}/distinct", ["event_id"], "ts",
+            late="60 days", checkpoint=f"{base}/progress", documents=False, files_per_batch=3,
+        )
+    return spark.read.schema(schema).parquet(f"{base}/distinct").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
