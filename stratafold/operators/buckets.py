@@ -27,7 +27,7 @@ from stratafold.workspace import fresh_path
 
 BUCKET = "_bucket"
 # Buckets of a new table.  Each should hold some 100 MB; their number is fixed when the first version is written.
-BUCKETS = 32
+BUCKETS = 16
 
 MANIFEST = (
     "version long, bucket int, buckets int, name string, rows long, active_rows long, digest_0 long, digest_1 long, published_at timestamp"
@@ -162,7 +162,7 @@ class BucketedTable:
         sums = staged.groupBy(BUCKET).agg(F.count("*").alias("rows"), *_sums(compared, counts))
         made = {r[BUCKET]: (name, r["rows"], r["active_rows"], r["digest_0"], r["digest_1"]) for r in sums.collect()}
         kept = {b: (r["name"], r["rows"], r["active_rows"], r["digest_0"], r["digest_1"]) for b, r in held.items() if b not in touched}
-        number = self.number() + 1
+        number = (before[0]["version"] if before else self.number()) + 1
         entries = [(number, b, buckets, *entry, as_of) for b, entry in sorted({**kept, **made}.items())]
         self.spark.createDataFrame(entries, MANIFEST).coalesce(1).write.mode("append").parquet(self.log_path)
         return len(touched)
