@@ -32,18 +32,23 @@ def broadcast_if_small(
     return F.broadcast(table) if probe[0] <= max_rows and probe[1] <= max_bytes else table
 
 
+def written_with_size(table: DataFrame, label: str) -> tuple[DataFrame, int, int]:
+    """``table`` written once to the shared folder, its rows and bytes, counted while it is written."""
+    seen = Observation()
+    counts = [F.count("*").alias("rows"), F.coalesce(F.sum(_width(table)), F.lit(0)).alias("bytes")]
+    kept = materialise(table, label, seen, counts)
+    return kept, seen.get["rows"], seen.get["bytes"]
+
+
 def written_and_measured(
     table: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """``table`` written once to the shared folder, with a broadcast hint if it turned out small.
 
-    For tables that cost something to compute: rows and bytes are counted while it is written.
+    For tables that cost something to compute.
     """
-    seen = Observation()
-    counts = [F.count("*").alias("rows"), F.coalesce(F.sum(_width(table)), F.lit(0)).alias("bytes")]
-    kept = materialise(table, label, seen, counts)
-    found = seen.get
-    return F.broadcast(kept) if found["rows"] <= max_rows and found["bytes"] <= max_bytes else kept
+    kept, rows, size = written_with_size(table, label)
+    return F.broadcast(kept) if rows <= max_rows and size <= max_bytes else kept
 
 
 def missing_references(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from stratafold.operators.bloom import bitmaps, block_of, blocks_for, maybe_in
 from stratafold.operators.buckets import row_digests
 from stratafold.operators.joins import broadcast_if_small
 from stratafold.operators.versions import VersionedTable
@@ -26,20 +27,12 @@ from stratafold.operators.writers import NULL_PARTITION, in_partitions, replace_
 from stratafold.sources.files import folder_entries
 from stratafold.workspace import delete_folder, materialise
 
-# Fixed value: bits in one bitmap of Spark's bitmap functions.
-BLOCK_BITS = 32_768
-# Bits that a key sets in its block of the filter.
-PROBES = 8
-
 PARTS = "part string, generation long, rows long, keys long"
 KEYS = "part string, d0 long, d1 long, n long"
 STORED_KEYS = f"{KEYS}, generation long, place int"
 FILTER = "block long, bitmap binary, blocks long"
 
 DIGEST = ["d0", "d1"]
-# Where a key's bits lie: a block by the first half of its digest, steps within it by the second.
-BITS = f"transform(sequence(0, {PROBES - 1}), i -> ((d1 & 32767) + i * ((shiftright(d1, 15) & 32767) | 1)) % {BLOCK_BITS})"
-IN_BITMAP = f"forall({BITS}, p -> getbit(bigint(conv(hex(substring(bitmap, int(p div 8) + 1, 1)), 16, 10)), int(p % 8)) = 1)"
 
 
 def partition_text(value: Column, kind) -> Column:
@@ -56,12 +49,6 @@ def changed_parts(table: DataFrame, changed: DataFrame, partition: str) -> tuple
     return rows.withColumn("_part", partition_text(F.col(partition), kind)), materialise(names, "changed")
 
 
-def _blocks(keys: DataFrame, blocks: int) -> DataFrame:
-    """The filter's bitmaps of ``keys``."""
-    bits = keys.select(F.pmod("d0", F.lit(blocks)).alias("block"), F.explode(F.expr(BITS)).alias("bit"))
-    return bits.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
-
-
 @dataclass(frozen=True)
 class KeyRegister:
     """The keys (``columns``) of a table partitioned by ``partition``, kept under ``root``.
@@ -161,20 +148,20 @@ class KeyRegister:
         blocks = kept.select("blocks").first()
         if blocks is None:
             return fresh.limit(0)
-        placed = fresh.withColumn("block", F.pmod("d0", F.lit(blocks[0])))
-        return placed.join(kept.select("block", "bitmap"), "block").filter(IN_BITMAP).select(*DIGEST, "place")
+        placed = fresh.withColumn("block", block_of("d0", blocks[0]))
+        return placed.join(kept.select("block", "bitmap"), "block").filter(maybe_in("bitmap", "d1")).select(*DIGEST, "place")
 
     def _write_filter(self, current: DataFrame, new: DataFrame, number: int) -> None:
         """Add the new keys' bits; with twice the keys, make it anew, which also drops those of replaced partitions."""
         keys = current.agg(F.coalesce(F.sum("keys"), F.lit(0))).first()[0]
-        needed = 1 << max(0, -(-keys * self.bits_per_key // BLOCK_BITS) - 1).bit_length()
+        needed = blocks_for(keys, self.bits_per_key)
         kept = self._of("filter", number, FILTER)
         made = kept.select("blocks").first()
         if made is None or made[0] < needed:
-            bits, blocks = _blocks(self._stored(current), needed), needed
+            bits, blocks = bitmaps(self._stored(current), *DIGEST, needed), needed
         else:
             blocks = made[0]
-            both = kept.select("block", "bitmap").unionByName(_blocks(new, blocks))
+            both = kept.select("block", "bitmap").unionByName(bitmaps(new, *DIGEST, blocks))
             bits = both.groupBy("block").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
         replace_table(bits.withColumn("blocks", F.lit(blocks).cast("long")), f"{self.root}/filter/generation={number + 1}")
 

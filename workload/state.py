@@ -129,6 +129,19 @@ def lookup_coverage_query(spark, sf_dir):
 # --- merges ------------------------------------------------------------------
 
 
+@query(
+    "lookup_rarely_hit",
+    """
+SELECT o_orderkey, o_custkey, c_name AS indebted FROM orders
+LEFT JOIN (SELECT c_custkey, c_name FROM customer WHERE c_acctbal < 0) ON o_custkey = c_custkey""",
+)
+def lookup_rarely_hit_query(spark, sf_dir):
+    """A lookup held to be too large to broadcast, that few rows hit: a Bloom filter keeps the others out of the join."""
+    indebted = table(spark, sf_dir, "customer").filter("c_acctbal < 0")
+    step = LookupStep(indebted, "o_custkey", "CUSTOMER", key="c_custkey", value="c_name", max_rows=0, rarely_hit=True)
+    return lookup_left(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), step, "indebted")
+
+
 def order_states(spark, sf_dir):
     """Latest order per customer and priority, before the split date and from it on."""
     orders = table(spark, sf_dir, "orders")
