@@ -54,9 +54,9 @@ class KeyRegister:
     """The keys (``columns``) of a table partitioned by ``partition``, kept under ``root``.
 
     Rows with a NULL in a key column do not count.  A key may repeat in a partition, in others, or
-    both; NULL and empty text are one partition.  With ``bits_per_key`` 32 about one key in a million is
-    looked up in vain (a sixteenth of what a lookup in all keys would read is the filter); ``places`` is the
-    number of folders the keys of one refresh go to.  Values stand for themselves by 128 bits of hash.
+    both; NULL and empty text are one partition.  ``bits_per_key`` is what the filter has for a key at
+    least: with 32, about six keys in a million are looked up in vain by the usual formula.  ``places`` is
+    the number of folders the keys of one refresh go to.  Values stand for themselves by 128 bits of hash.
     """
 
     spark: SparkSession
