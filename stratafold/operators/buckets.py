@@ -30,10 +30,12 @@ BUCKET = "_bucket"
 BUCKETS = 16
 
 MANIFEST = (
-    "version long, bucket int, buckets int, name string, rows long, active_rows long, digest_0 long, digest_1 long, published_at timestamp"
+    "version long, bucket int, buckets int, name string, rows long, active_rows long, digest_0 long, digest_1 long, published_at timestamp, batch long"
 )
 
 Audit = Callable[[DataFrame], object]
+# From the rows of some buckets (None if there are none yet) and new rows for them, what the buckets hold next.
+Step = Callable[[DataFrame | None, DataFrame], DataFrame]
 
 
 def row_digests(columns: Sequence[str]) -> list[Column]:
@@ -101,6 +103,11 @@ class BucketedTable:
         """Names of the folders that some live version reads."""
         return {r["name"] for r in self.manifest().select("name").distinct().collect()}
 
+    def last_batch(self) -> int | None:
+        """The greatest batch number that was folded in; None if there is none."""
+        newest = self._newest()
+        return newest[0]["batch"] if newest else None
+
     def active_rows(self) -> int:
         """Active rows of the newest version, from its manifest."""
         return sum(r["active_rows"] for r in self._newest())
@@ -152,20 +159,58 @@ class BucketedTable:
             target, rows, keys=self.keys, update=update, as_of=as_of, on_missing=on_missing, touch=touch,
             active=self.active, stamped=self.stamped, source_is_unique=True,
         )
+        self._publish(before, buckets, touched, merged, compared, as_of, audit)
+        return len(touched)
+
+    def fold(self, batch: DataFrame, step: Step, *, as_of: dt.datetime, audit: Audit | None = None, number: int | None = None) -> int:
+        """Replace the buckets that hold a key of ``batch`` by ``step(their rows, batch)``; how many there are.
+
+        What the step gives for a key must follow from that key's rows alone; it may drop rows.
+        All other buckets are neither read nor written, so the cost is that of the buckets the
+        batch falls in.  With ``number``, a batch that was folded in before is passed over.  An empty
+        batch makes no version, ``audit`` works as in ``merge``, and ``batch`` should be a written table.
+        """
+        before = self._newest()
+        if number is not None and before and before[0]["batch"] is not None and number <= before[0]["batch"]:
+            return 0
+        buckets = before[0]["buckets"] if before else self.buckets
+        touched = sorted(r[0] for r in batch.select(key_bucket(self.keys, buckets)).distinct().collect())
+        if not touched:
+            return 0
+        held = [r for r in before if r["bucket"] in set(touched)]
+        folded = step(self._rows_of(held) if held else None, batch).select(*self.schema.names)
+        compared = [c for c in self.schema.names if c not in (self.active, self.stamped)]
+        self._publish(before, buckets, touched, folded, compared, as_of, audit, number)
+        return len(touched)
+
+    def _publish(
+        self,
+        before: Sequence,
+        buckets: int,
+        touched: Sequence[int],
+        rows: DataFrame,
+        compared: Sequence[str],
+        as_of: dt.datetime,
+        audit: Audit | None,
+        number: int | None = None,
+    ) -> None:
+        """Write ``rows`` as the new content of the buckets ``touched`` and publish a version of them and the others."""
         name = uuid.uuid4().hex
         path = f"{self.data_path}/{name}"
-        replace_table(merged.withColumn(BUCKET, key_bucket(self.keys, buckets)), path, [BUCKET])
+        replace_table(rows.withColumn(BUCKET, key_bucket(self.keys, buckets)), path, [BUCKET])
         staged = self.spark.read.schema(StructType([*self.schema.fields, StructField(BUCKET, IntegerType())])).parquet(path)
         if audit is not None:
             audit(staged.select(*self.schema.names))
         counts = F.coalesce(F.col(self.active), F.lit(False)) if self.active else F.lit(True)
         sums = staged.groupBy(BUCKET).agg(F.count("*").alias("rows"), *_sums(compared, counts))
+        # A bucket may have lost its last row.
+        emptied = {b: (name, 0, 0, 0, 0) for b in touched}
         made = {r[BUCKET]: (name, r["rows"], r["active_rows"], r["digest_0"], r["digest_1"]) for r in sums.collect()}
-        kept = {b: (r["name"], r["rows"], r["active_rows"], r["digest_0"], r["digest_1"]) for b, r in held.items() if b not in touched}
-        number = (before[0]["version"] if before else self.number()) + 1
-        entries = [(number, b, buckets, *entry, as_of) for b, entry in sorted({**kept, **made}.items())]
+        kept = {r["bucket"]: (r["name"], r["rows"], r["active_rows"], r["digest_0"], r["digest_1"]) for r in before}
+        version = (before[0]["version"] if before else self.number()) + 1
+        last = before[0]["batch"] if before and number is None else number
+        entries = [(version, b, buckets, *entry, as_of, last) for b, entry in sorted({**kept, **emptied, **made}.items())]
         self.spark.createDataFrame(entries, MANIFEST).coalesce(1).write.mode("append").parquet(self.log_path)
-        return len(touched)
 
     @staticmethod
     def _differs(held, found, on_missing: str, touch: str) -> bool:

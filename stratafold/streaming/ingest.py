@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from stratafold.operators.buckets import BucketedTable
 from stratafold.operators.dedup import latest_per_key
 from stratafold.operators.merge import merge_touched_partitions
 from stratafold.operators.versions import Audit, VersionedTable
@@ -53,6 +54,25 @@ def into_versions(table: VersionedTable, step: Step, as_of: dt.datetime | None =
     return take
 
 
+def into_buckets(table: BucketedTable, step: Step, as_of: dt.datetime | None = None, audit: Audit | None = None) -> Take:
+    """Publish ``step`` of each batch and of the buckets that hold its keys, once ``audit`` passes them.
+
+    For tables that are large next to a batch: buckets without a key of the batch keep their
+    files, unread.  Keys are dealt out by hash, so a table should have several times as many buckets as a batch
+    has keys for that to spare much; other feeds go ``into_partitions`` or ``stream_distinct``.
+    A batch that comes again after it was published is passed over.  One stream feeds a table.
+    """
+
+    @cleans_up
+    def take(batch: DataFrame, number: int) -> None:
+        done = table.last_batch()
+        if done is None or number > done:
+            rows = materialise(batch, "batch")
+            table.fold(rows, step, as_of=as_of or dt.datetime.now(), audit=audit, number=number)
+
+    return take
+
+
 def into_partitions(
     path: str, schema: T.StructType, prepare: Callable[[DataFrame], DataFrame], *, partition: str, **merge_options
 ) -> Take:

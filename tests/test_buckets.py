@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratafold.operators.buckets import BucketedTable
+from stratafold.operators.dedup import latest_per_key
 from stratafold.operators.maintenance import maintain, unlisted_folders
 from stratafold.operators.merge import merge_table
 from stratafold.operators.quality import QualityError, Rule, run_suite
@@ -99,3 +100,41 @@ def test_the_number_of_buckets_is_that_of_the_first_version(spark, table):
     assert other.merge(frame(spark, [(i, "a", "x") for i in range(30)]), as_of=at(1), **OPTIONS) == 0
     assert isinstance(other.log().first().published_at, dt.datetime) and other.manifest().filter(F.col("buckets") != 8).count() == 0
     assert VersionedTable(spark, f"{table.root}-none").live_folders() == set()
+
+
+def test_a_batch_is_folded_into_its_buckets_only(spark, base):
+    schema = spark.createDataFrame([], "id long, v int").schema
+    own = BucketedTable(spark, f"{base}/f", schema, ("id",), 8, active=None, stamped=None)
+
+    def latest(current, batch):
+        return latest_per_key(batch if current is None else current.unionByName(batch), ["id"], "v", ["id"])
+
+    def batch(*rows):
+        return spark.createDataFrame(rows, schema)
+
+    first = [(i, i % 5) for i in range(100)] + [(None, 3)]
+    assert own.fold(batch(*first, (4, 9), (None, 1)), latest, as_of=at(0), number=0) == 8
+    assert own.fold(batch(), latest, as_of=at(1), number=1) == 0 and own.number() == 0
+    before = set(own.read().inputFiles())
+    assert own.fold(batch((7, 8), (7, 1)), latest, as_of=at(1), number=2) == 1
+    after = set(own.read().inputFiles())
+    assert len(before & after) == 7 and own.last_batch() == 2
+    want = sorted({**dict(first[:-1]), 4: 9, 7: 8}.items())
+    assert state(own.read().filter("id IS NOT NULL")) == want and own.read().filter("id IS NULL").first().v == 3
+    # A batch that comes again is passed over, also after a merge in between.
+    own.merge(batch((8, 6)), update=["v"], as_of=at(2))
+    number = own.number()
+    assert own.fold(batch((7, 9)), latest, as_of=at(3), number=2) == 0 and own.number() == number
+    assert own.fold(batch((7, 0)), latest, as_of=at(3), number=3) == 1
+    assert state(own.read().filter("id IN (7, 8)")) == [(7, 8), (8, 6)]
+
+
+def test_a_bucket_may_lose_its_last_row(spark, base):
+    schema = spark.createDataFrame([], "id long, v int").schema
+    own = BucketedTable(spark, f"{base}/f", schema, ("id",), 2, active=None, stamped=None)
+    rows = spark.createDataFrame([(i, 0) for i in range(10)], schema)
+    own.fold(rows, lambda current, new: new, as_of=at(0))
+    own.fold(rows, lambda current, new: current.limit(0), as_of=at(1))
+    assert own.read().collect() == [] and own.number() == 1
+    own.fold(rows.filter("id = 3"), lambda current, new: new if current is None else current.unionByName(new), as_of=at(2))
+    assert state(own.read()) == [(3, 0)]

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from stratafold.operators.buckets import BucketedTable
 from stratafold.operators.dedup import latest_per_key
 from stratafold.operators.versions import VersionedTable
 from stratafold.plans import contracts, gold
@@ -19,7 +20,7 @@ from stratafold.plans.matches import (
     transform_matches,
 )
 from stratafold.sources.payload import PAYLOAD_DDL, finished
-from stratafold.streaming.ingest import into_partitions, into_versions, keep_latest, stream_distinct, stream_files
+from stratafold.streaming.ingest import into_buckets, into_partitions, into_versions, keep_latest, stream_distinct, stream_files
 from stratafold.workspace import fresh_path
 from workload.feeds import landed_matches
 from workload.proxies import MATCH_SQL, raw_matches
@@ -230,6 +231,19 @@ def stream_ingest_query(spark, sf_dir):
     return state.read()
 
 
+@query("stream_buckets", LATEST_SQL)
+def stream_buckets_query(spark, sf_dir):
+    """The same, each batch rewriting only the key buckets its users are in."""
+    base = fresh_path(spark, "stream")
+    schema = land_events(spark, sf_dir, f"{base}/landed")
+    state = BucketedTable(spark, f"{base}/state", schema, ("user_id",), active=None, stamped=None)
+    take = into_buckets(state, keep_latest(["user_id"], "ts", ["event_id"]), dt.datetime(2024, 2, 1))
+    stream_files(
+        spark, f"{base}/landed", schema, take, checkpoint=f"{base}/progress", documents=False, files_per_batch=3
+    )
+    return state.read()
+
+
 @query(
     "stream_upsert",
     """

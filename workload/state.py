@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stratafold.functions.temporal import ntz as instant
 from stratafold.functions.text import null_to_sentinel
+from stratafold.operators.buckets import BucketedTable
 from stratafold.operators.dedup import latest_per_key, latest_per_key_agg
 from stratafold.operators.lookup import LookupStep, coverage, lookup_cascade, lookup_left, prepare_lookup
 from stratafold.operators.maintenance import compaction_plan, expired_versions, orphan_files, unlisted_folders
@@ -236,6 +237,21 @@ def merge_upsert_query(spark, sf_dir):
     )
 
 
+@query("merge_upsert_buckets", UPSERT_SQL)
+def merge_upsert_buckets_query(spark, sf_dir):
+    """The same upsert into a bucketed table: the keys of the source alone tell which buckets are read."""
+    target, source = order_states(spark, sf_dir)
+    state = BucketedTable(spark, fresh_path(spark, "by-key"), target.schema, ("o_custkey", "o_orderpriority"))
+    state.fold(materialise(target, "target"), lambda current, rows: rows, as_of=RUN)
+    state.merge(
+        materialise(source, "source"),
+        update=["o_orderkey", "o_orderstatus", "o_totalprice"],
+        as_of=RUN,
+        touch="always",
+    )
+    return state.read()
+
+
 @query("merge_touched_partitions", UPSERT_SQL)
 def merge_touched_partitions_query(spark, sf_dir):
     """The same upsert into a table partitioned by the month of the first order."""
