@@ -39,7 +39,7 @@ TOKENS_PER_FILE = 4_000_000
 READ_TASKS = 20_000
 
 MANIFEST = "part int, number int, name string, n_docs long, n_tokens long"
-DECODED = "name string, position long, doc_id long, local_start long, n_tokens long, ids_crc32 long"
+DECODED = "name string, position long, doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def _pack_level(values: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -204,17 +204,15 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, rows=1):
-            name = batch.column(0)[0].as_py()
-            found = [(p, d, s, len(v), zlib.crc32(v.astype("<u4").tobytes())) for p, (d, s, v) in enumerate(TokenFile(_read(folder, name)).documents())]
+            name, before = batch.column(0)[0].as_py(), batch.column(1)[0].as_py()
+            found = [(p, d, before + s, len(v), zlib.crc32(v.astype("<u4").tobytes())) for p, (d, s, v) in enumerate(TokenFile(_read(folder, name)).documents())]
             columns = list(zip(*found)) or [[]] * 5
-            yield pa.record_batch([pa.array([name] * len(found), pa.string())] + [pa.array(c, pa.int64()) for c in columns], ["name", "position", "doc_id", "local_start", "n_tokens", "ids_crc32"])
+            yield pa.record_batch([pa.array([name] * len(found), pa.string())] + [pa.array(c, pa.int64()) for c in columns], ["name", "position", "doc_id", "start", "n_tokens", "ids_crc32"])
 
-    # Only names travel: a task opens the files of its rows itself.
+    # Only names and starts travel: a task opens the files of its rows itself, and nothing is joined to what it reads.
     tasks = min(max(manifest.count(), 1), READ_TASKS)
-    documents = manifest.select("name").repartition(tasks, "name").mapInArrow(decode, DECODED)
-    return documents.join(file_starts(manifest).select("name", "start"), "name").select(
-        "doc_id", (F.col("start") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32", F.col("name").alias("file")
-    )
+    documents = file_starts(manifest).select("name", "start").repartition(tasks, "name").mapInArrow(decode, DECODED)
+    return documents.select("doc_id", "start", "n_tokens", "ids_crc32", F.col("name").alias("file"))
 
 
 def token_files(spark: SparkSession, docs: DataFrame, tokenizer: str) -> DataFrame:
