@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratafold.llm.graph import components
-from stratafold.llm.rows import slices, unused_name
+from stratafold.llm.rows import release_memory, slices, unused_name
 from stratafold.operators.joins import broadcast_if_small
 from stratafold.workspace import materialise
 
@@ -209,6 +209,8 @@ def _estimate_group(percent: int):
         found: list[tuple] = []
         for start, end in zip([0, *edges], [*edges, len(rows)]):
             found += one(*(int(k[start]) for k in keys), *(h[start:end] for h in held), sets[start:end])
+        del rows, held, sets
+        release_memory()
         return pd.DataFrame(found, columns=["value", "low", "high", "a", "b"])
 
     return run
@@ -242,6 +244,8 @@ def _link_group(percent: int):
                 if mine != other:
                     parent[other] = mine
                     links.append((int(ids[i]), int(ids[j])))
+        del rows, sets
+        release_memory()
         return pd.DataFrame(links, columns=["a", "b"])
 
     return run
