@@ -25,15 +25,24 @@ def block_of(first: str, blocks: int) -> Column:
     return F.pmod(F.col(first), F.lit(blocks))
 
 
+def _bit(second: str, i: int | str) -> str:
+    return f"(({second} & 32767) + {i} * ((shiftright({second}, 15) & 32767) | 1)) % {BLOCK_BITS}"
+
+
 def _bits(second: str) -> str:
-    step = f"((shiftright({second}, 15) & 32767) | 1)"
-    return f"transform(sequence(0, {PROBES - 1}), i -> (({second} & 32767) + i * {step}) % {BLOCK_BITS})"
+    return f"transform(sequence(0, {PROBES - 1}), i -> {_bit(second, 'i')})"
 
 
 def bitmaps(keys: DataFrame, first: str, second: str, blocks: int) -> DataFrame:
-    """(``block``, ``bitmap``) of all keys."""
-    bits = keys.select(block_of(first, blocks).alias("block"), F.explode(F.expr(_bits(second))).alias("bit"))
-    return bits.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    """(``block``, ``bitmap``) of all keys.
+
+    A key moves to its block's task as it is: bitmaps made before would be as many as tasks times blocks.
+    """
+    placed = keys.select(block_of(first, blocks).alias("block"), F.col(second).alias("_second")).repartition("block")
+    bits = [f"_bit_{i}" for i in range(PROBES)]
+    each = placed.select("block", *[F.expr(_bit("_second", i)).alias(b) for i, b in enumerate(bits)])
+    made = each.groupBy("block").agg(F.array(*map(F.bitmap_construct_agg, bits)).alias("made"))
+    return made.select("block", F.explode("made").alias("bitmap")).groupBy("block").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
 
 
 def maybe_in(bitmap: str, second: str) -> Column:
