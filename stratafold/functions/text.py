@@ -20,8 +20,9 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_accents(c: Column | str) -> Column:
-    """Replace each mapped accented letter by its plain letter."""
-    return F.translate(_col(c), ACCENTED, PLAIN)
+    """Replace each mapped accented letter by its plain letter; a text of one byte a letter has none."""
+    text = _col(c)
+    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(F.translate(text, ACCENTED, PLAIN))
 
 
 def null_to_sentinel(c: Column | str, sentinel: str = UNKNOWN_SENTINEL) -> Column:

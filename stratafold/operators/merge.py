@@ -14,11 +14,12 @@ from typing import Literal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stratafold.functions.temporal import stamp
 from stratafold.operators.incremental import high_watermark, increment
 from stratafold.operators.joins import broadcast_if_small
-from stratafold.operators.writers import in_partitions, overwrite_partitions
+from stratafold.operators.writers import in_partitions, one_partition, overwrite_partitions
 from stratafold.workspace import cleans_up, materialise
 
 # Fixed value: the largest share of active rows a new snapshot may lack.
@@ -177,12 +178,34 @@ def merge_touched_partitions(
         .union(source.select(partition))
         .distinct()
     )
-    affected, _ = in_partitions(target, materialise(concerned, "concerned"), partition)
+    affected, count = in_partitions(target, materialise(concerned, "concerned"), partition)
     merged = merge_table(affected, source, **merge_options)
     staged = materialise(merged, "merged")
     if audit is not None:
         audit(staged)
-    overwrite_partitions(staged, path, [partition])
+    overwrite_partitions(staged, path, [partition], single=count == 1)
+
+
+def merge_into_nothing(
+    source: DataFrame,
+    schema: StructType,
+    path: str,
+    *,
+    partition: str,
+    audit: Callable[[DataFrame], object] | None = None,
+    **merge_options,
+) -> None:
+    """The first merge into a table of ``schema``: what ``merge_touched_partitions`` does to an empty one.
+
+    There is nothing to join with and no partition to replace, so the rows go from ``source``, which
+    should be a written table, straight to ``path`` once ``audit`` has passed them.
+    """
+    # A filter that never holds is seen by the optimizer, which then leaves out the join.
+    nothing = source.sparkSession.createDataFrame([], schema).filter(F.lit(False))
+    rows = merge_table(nothing, source, **merge_options)
+    if audit is not None:
+        audit(rows)
+    overwrite_partitions(rows, path, [partition], single=one_partition(rows, partition))
 
 
 def key_bucket(keys: Sequence[str], buckets: int) -> Column:

@@ -45,6 +45,11 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str], *, single:
     writer.partitionBy(*by).parquet(path)
 
 
+def one_partition(df: DataFrame, column: str) -> bool:
+    """Whether all rows have the same value of a column, NULL included; reads that column alone."""
+    return df.select(column).distinct().limit(2).count() < 2
+
+
 def append_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Add rows and never touch what is there; a repeated run adds them again."""
     rebalanced(df, by).write.mode("append").partitionBy(*by).parquet(path)

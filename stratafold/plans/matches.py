@@ -22,7 +22,7 @@ from stratafold.operators.lookup import (
     lookup_cascade,
     prepare_lookup,
 )
-from stratafold.operators.merge import merge_touched_partitions
+from stratafold.operators.merge import merge_into_nothing, merge_touched_partitions
 from stratafold.operators.quality import bundled_suite, materialise_with_summary, run_suite
 from stratafold.operators.quarantine import (
     BAD_PATH_DATE,
@@ -48,8 +48,10 @@ def land_matches(spark: SparkSession, raw: DataFrame, staging: str, run_date: st
 
     Everything up to the run's date if nothing was landed yet, else that date.
     """
-    flat = finished(flatten_payload(raw, c.MATCH_SOURCE))
     first_run = scan_dated_json(spark, f"{staging}/*/*.json", c.MATCH, documents=False) is None
+    # A later run's slice implies this filter, which ends the parsing of other dates' documents early.
+    wanted = raw if first_run else raw.filter(F.col("data_realizacao").startswith(run_date))
+    flat = finished(flatten_payload(wanted, c.MATCH_SOURCE))
     land_json_by_date(landing_slice(flat, run_date, first_run=first_run), staging)
 
 
@@ -97,9 +99,10 @@ def ingest_matches(
         return False
     run_suite(staged, bundled_suite("match_bronze"))
     per_date = rows_per_date(staged)
-    logger.info("rows per date: %s", {r.ingestion_date: r.rows for r in per_date.collect()})
+    counts = {r.ingestion_date: r.rows for r in per_date.collect()}
+    logger.info("rows per date: %s", counts)
     record(per_date, bronze, batch, as_of)
-    overwrite_partitions(staged.select(*c.MATCH_BRONZE.names), bronze, ["ingestion_date"])
+    overwrite_partitions(staged.select(*c.MATCH_BRONZE.names), bronze, ["ingestion_date"], single=len(counts) == 1)
     return True
 
 
@@ -160,10 +163,10 @@ def transform_matches(
     if landed is None:
         return False
     seen = high_watermark(scan_table(spark, watermarks), "merged_batch")
-    news = landed if full_refresh else with_news(landed, bronze, "ingest_batch", "ingestion_date", seen)
-    if news is None:
+    # The files are listed here, once: should an ingest replace one before it is read, this run fails and marks nothing.
+    fresh = landed if full_refresh else with_news(landed, bronze, "ingest_batch", "ingestion_date", seen)
+    if fresh is None:
         return False
-    fresh = materialise(news, "match-fresh")
     newest = high_watermark(fresh, "ingest_batch")
     if newest is None:
         return False
@@ -196,20 +199,20 @@ def transform_matches(
         ["ge_match_id", "match_date", "stadium_state"],
     )
     stored = c.T.StructType([*c.MATCH_SILVER.fields, c.T.StructField(MONTH, c.T.DateType())])
+    options = {
+        "partition": MONTH,
+        "keys": ["ge_match_id"],
+        "update": c.MATCH_UPDATED,
+        "as_of": as_of,
+        "touch": touch,
+        "source_is_unique": True,
+        "audit": lambda staged: run_suite(staged, bundled_suite("match_silver")),
+    }
     current = scan_table(spark, silver, stored)
-    target = spark.createDataFrame([], stored) if current is None else current
-    merge_touched_partitions(
-        target,
-        source,
-        silver,
-        partition=MONTH,
-        keys=["ge_match_id"],
-        update=c.MATCH_UPDATED,
-        as_of=as_of,
-        touch=touch,
-        source_is_unique=True,
-        audit=lambda staged: run_suite(staged, bundled_suite("match_silver")),
-    )
+    if current is None:
+        merge_into_nothing(source, stored, silver, **options)
+    else:
+        merge_touched_partitions(current, source, silver, **options)
     logger.info("origins of states: %s", {r.stadium_state_origin: r.rows for r in coverage(source, "stadium_state_origin").collect()})
     keep_mark()
     return True

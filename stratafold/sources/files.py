@@ -40,7 +40,11 @@ def scan_json(
 
 def file_date(pattern: str = DATE_FOLDER) -> Column:
     """The date folder a row's file lies in, the empty string if there is none."""
-    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    path = F.col("_metadata.file_path")
+    if pattern == DATE_FOLDER:
+        # Evaluated for every row: the last folder is found faster without searching those above it.
+        path = F.concat(F.lit("/"), F.substring_index(path, "/", -2))
+    return F.regexp_extract(path, pattern, 1)
 
 
 def scan_dated_json(

@@ -7,14 +7,17 @@ from pathlib import Path
 
 import pytest
 
+from stratafold import workspace
 from stratafold.operators.incremental import listed_watermark
 from stratafold.operators.ledger import FOLDER, recorded
 from stratafold.operators.quality import QualityError
 from stratafold.plans import contracts as c
+from stratafold.plans import matches
 from stratafold.plans.matches import ingest_matches, land_matches, read_matches, rows_per_date, transform_matches
 from stratafold.sources.files import scan_table
 from stratafold.sources.payload import PAYLOAD_DDL
 from stratafold.workspace import shared_root
+from tests.conftest import plan_of
 
 
 def match(number, day, **changes):
@@ -165,6 +168,38 @@ def test_intermediate_tables_go_with_the_run(feed, spark):
     assert set(shared.iterdir()) == before
 
 
+def test_the_first_merge_copies_nothing_but_its_source(feed, spark, monkeypatch):
+    written = []
+    fresh = workspace.fresh_path
+    monkeypatch.setattr(workspace, "fresh_path", lambda spark, label: written.append(label) or fresh(spark, label))
+    feed.land("2026-05-20", match(1, "2026-05-20"), match(2, "2026-06-20"))
+    assert feed.ingest(0) and feed.transform(1)
+    assert set(written) == {"match-bronze", "lookup", "match-source"}
+    rows = feed.state()
+    assert {r.is_active for r in rows.values()} == {True} and {r.updated_at for r in rows.values()} == {feed.at(1)}
+    assert {r.match_month.isoformat() for r in scan_table(spark, feed.silver).collect()} == {"2026-05-01", "2026-06-01"}
+
+    feed.land("2026-05-21", match(3, "2026-05-21"))
+    assert feed.ingest(2) and feed.transform(3) and set(feed.state()) == {"m-1", "m-2", "m-3"}
+
+
+def test_a_first_merge_that_fails_its_audit_writes_nothing(feed, spark):
+    feed.land("2026-05-20", match(1, "no date"))
+    assert feed.ingest(0)
+    with pytest.raises(QualityError):
+        feed.transform(1)
+    assert read_matches(spark, feed.silver) is None and scan_table(spark, feed.marks) is None
+
+
+def test_later_landings_parse_only_their_own_date(feed, spark, tmp_path, monkeypatch):
+    feed.land("2026-05-20", match(1, "2026-05-20"))
+    (tmp_path / "raw.json").write_text('{"id": "m-1", "data_realizacao": "2026-05-21T16:00", "placar_oficial_mandante": 1, "jogo_ja_comecou": true}')
+    landed = []
+    monkeypatch.setattr(matches, "land_json_by_date", lambda df, path: landed.append(df))
+    land_matches(spark, spark.read.schema(PAYLOAD_DDL).json(f"file://{tmp_path}/raw.json"), feed.staging, "2026-05-21")
+    assert "StringStartsWith(data_realizacao,2026-05-21)" in plan_of(landed[0]) and landed[0].count() == 1
+
+
 def test_the_watermark_comes_from_folder_names(feed, spark):
     for day in ("2026-05-20", "2026-05-21"):
         feed.land(day, match(1, day))
