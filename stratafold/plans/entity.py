@@ -47,15 +47,19 @@ def ingest_snapshot(
     run_date: str,
     as_of: dt.datetime | None = None,
     broken: str | None = None,
+    *,
+    documents: bool = True,
 ) -> int:
     """Read the day's landed pages, check them, replace that day's partition.
 
     The JSON is parsed once, into the shared folder; checks and the final write
     read columns from there.  Returns the rows written.  With ``broken``, documents that
     cannot be parsed go there with their text, the day's in place of those of an earlier
-    run; without, each is a row of NULLs.
+    run; without, each is a row of NULLs.  By default every file is one page; without ``documents``
+    every line is, so that many pages share a file and large files are split.
     """
-    landed = scan_json(spark, f"{staging.rstrip('/')}/{run_date}/", c.ENTITY, keep_corrupt=broken is not None)
+    folder = f"{staging.rstrip('/')}/{run_date}/"
+    landed = scan_json(spark, folder, c.ENTITY, documents=documents, keep_corrupt=broken is not None)
     if broken is not None:
         parsed = materialise(landed, "entity-landed")
         lost = parsed.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(F.col(CORRUPT_COLUMN).alias("document"))

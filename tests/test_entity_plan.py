@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratafold.operators.merge import SourceShrinkError
 from stratafold.operators.quality import QualityError
@@ -12,6 +13,7 @@ from stratafold.plans import contracts as c
 from stratafold.plans import gold
 from stratafold.plans.entity import ingest_snapshot, silver_table, transform_snapshot
 from stratafold.sources.files import scan_table
+from workload import flows
 
 ROWS = [
     {"id": "abc-001", "name": "First", "brewery_type": "micro", "address_1": "1 Road", "city": "Portland",
@@ -117,6 +119,30 @@ def test_broken_documents_keep_their_text(flow, spark):
     assert [(r.document, r.quarantine_reason) for r in spark.read.parquet(f"{flow.base}/broken").collect()] == [('[{"id": "lost", ', "CORRUPT_DOCUMENT")]
 
 
+def test_pages_may_share_a_file_by_line(flow, spark):
+    folder = flow.root / "staging" / D1
+    folder.mkdir(parents=True)
+    (folder / "pages.json").write_text("\n".join([json.dumps(ROWS[:1]), "[{broken", json.dumps(ROWS[1:])]), encoding="utf-8")
+    rows = ingest_snapshot(
+        spark, f"{flow.base}/staging", flow.bronze, D1, flow.when(D1), f"{flow.base}/broken", documents=False
+    )
+    assert rows == 3 and [r.document for r in spark.read.parquet(f"{flow.base}/broken").collect()] == ["[{broken"]
+    bronze = scan_table(spark, flow.bronze, c.ENTITY_BRONZE)
+    assert {(r.id, r.state) for r in bronze.collect()} == {(r["id"], r["state"]) for r in ROWS}
+
+
+def test_landed_pages_take_no_file_each(flow, spark):
+    rows = spark.range(20 * flows.PAGE_ROWS).select(
+        F.col("id").alias("c_custkey"), F.lit(0.0).alias("c_acctbal"), F.col("id").cast("string").alias("id"),
+        F.lit("First").alias("name"), F.lit("micro").alias("brewery_type"),
+    )
+    flows.land_pages(rows, f"{flow.base}/staging/{D1}")
+    assert len(list((flow.root / "staging" / D1).glob("part-*"))) <= 4
+    read = ingest_snapshot(spark, f"{flow.base}/staging", flow.bronze, D1, flow.when(D1), documents=False)
+    ids = {r.id for r in scan_table(spark, flow.bronze, c.ENTITY_BRONZE).collect()}
+    assert read == len(ids) == 20 * flows.PAGE_ROWS and str(20 * flows.PAGE_ROWS - 1) in ids
+
+
 def test_an_empty_state_is_kept(flow):
     assert flow.day(D1, [{**ROWS[0], "state": ""}])
     assert flow.state().first().state == ""

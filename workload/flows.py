@@ -80,12 +80,12 @@ def snapshots(spark, sf_dir):
 
 
 def land_pages(df, folder):
-    """JSON arrays of a bounded number of rows, a file each."""
+    """JSON arrays of a bounded number of rows, a line each: as many files as tasks, whatever the number of pages."""
     fields = [c for c in df.columns if c not in ("c_custkey", "c_acctbal")]
     pages = df.groupBy(F.floor(F.col("c_custkey") / PAGE_ROWS).alias("page")).agg(
         F.to_json(F.collect_list(F.struct(*fields))).alias("value")
     )
-    pages.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    pages.select("value").write.text(folder)
 
 
 def run_entity_days(spark, sf_dir, after_each=None):
@@ -93,7 +93,7 @@ def run_entity_days(spark, sf_dir, after_each=None):
     staging, bronze, silver, bad = (f"{base}/{n}" for n in ("staging", "bronze", "silver", "quarantine"))
     for df, day, run in zip(snapshots(spark, sf_dir), (DAY_ONE, DAY_TWO), (RUN_ONE, RUN_TWO)):
         land_pages(df, f"{staging}/{day}")
-        ingest_snapshot(spark, staging, bronze, day, run)
+        ingest_snapshot(spark, staging, bronze, day, run, documents=False)
         transform_snapshot(spark, bronze, silver, bad, day, run)
         if after_each:
             after_each(silver_table(spark, silver).read(), base, run)
